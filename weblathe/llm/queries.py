@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, packing, quality, sharding
+from . import chat, neardup, packing, quality, sharding
 from .common import table
 
 
+def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their near-duplicate components."""
+    return neardup.group(table(spark, sf_dir, "documents"), percent=75)
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with their measures, posterior and verdict."""
     return quality.judge(table(spark, sf_dir, "documents"))
@@ -34,6 +39,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op8_chat_formatting": op8_chat_formatting,
     "op9_sharding": op9_sharding,
