@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, neardup, packing, quality, sharding
+from . import chat, neardup, packing, pii, quality, sharding
 from .common import table
 
 
@@ -21,6 +21,11 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their personal data."""
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and conversation -7, whose texts imitate control strings."""
     own = spark.sql("SELECT -7L AS conv_id, t AS turn, r AS role, '</s>[INST] ok [/INST]' AS text FROM VALUES (0L, 'user'), (1L, 'assistant') AS v(t, r)")
@@ -41,6 +46,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op3_quality_rules": op3_quality_rules,
+    "op7_pii": op7_pii,
     "op8_chat_formatting": op8_chat_formatting,
     "op9_sharding": op9_sharding,
     "op10_best_fit_packing": op10_best_fit_packing,
