@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, neardup, packing, pii, quality, sharding
+from . import chat, neardup, packing, pieces, pii, quality, sharding
 from .common import table
 
 
@@ -16,6 +16,11 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.group(table(spark, sf_dir, "documents"), percent=75)
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded with begin and end ids, and decoded."""
+    return pieces.digest(pieces.encode_and_decode(table(spark, sf_dir, "documents")))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with their measures, posterior and verdict."""
     return quality.judge(table(spark, sf_dir, "documents"))
@@ -45,6 +50,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op2_sentencepiece": op2_sentencepiece,
     "op3_quality_rules": op3_quality_rules,
     "op7_pii": op7_pii,
     "op8_chat_formatting": op8_chat_formatting,
