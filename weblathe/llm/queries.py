@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, neardup, packing, pieces, pii, quality, sharding
+from . import chat, html_text, neardup, packing, pieces, pii, quality, sharding
 from .common import table
 
 
@@ -26,6 +26,11 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of all pages."""
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with their personal data."""
     return pii.report(table(spark, sf_dir, "documents"))
@@ -52,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_quality_rules": op3_quality_rules,
+    "op6_html_extraction": op6_html_extraction,
     "op7_pii": op7_pii,
     "op8_chat_formatting": op8_chat_formatting,
     "op9_sharding": op9_sharding,
