@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, html_text, neardup, packing, pieces, pii, quality, sharding
+from . import chat, html_text, neardup, neighbours, packing, pieces, pii, quality, sharding
 from .common import table
 
 
@@ -26,6 +26,12 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every vector whose vec_id is divisible by 20."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.search(vectors, vectors.filter("vec_id % 20 = 0"), k=20)
+
+
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of all pages."""
     return html_text.extract(table(spark, sf_dir, "pages"))
@@ -57,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_quality_rules": op3_quality_rules,
+    "op4_nearest_neighbours": op4_nearest_neighbours,
     "op6_html_extraction": op6_html_extraction,
     "op7_pii": op7_pii,
     "op8_chat_formatting": op8_chat_formatting,
