@@ -2,4 +2,43 @@
 
 from __future__ import annotations
 
-SQL: dict[str, str] = {}
+from . import licences
+
+#: The published jump hash over 17 steps: 128-bit arithmetic keeps the 64-bit generator exact.
+_JUMP = """
+WITH RECURSIVE walk AS (
+  SELECT doc_id, n, (CASE WHEN doc_id < 0 THEN 18446744073709551616::HUGEINT + doc_id ELSE doc_id::HUGEINT END) AS key, -1::BIGINT AS b, 0::BIGINT AS j
+  FROM (SELECT DISTINCT doc_id FROM documents), (VALUES (16), (17)) AS s(n)
+  UNION ALL
+  SELECT doc_id, n, next, j, CAST(floor((j + 1)::DOUBLE * (2147483648.0::DOUBLE / (next // 8589934592 + 1)::DOUBLE)) AS BIGINT)
+  FROM (SELECT *, (((key // 4294967296) * 2862933555777941757 % 4294967296) * 4294967296 + (key % 4294967296) * 2862933555777941757 + 1) % 18446744073709551616 AS next FROM walk WHERE j < n)
+)"""
+SHARDS = f"{_JUMP} SELECT doc_id, max(b) FILTER (WHERE n = 16) AS shard, max(b) FILTER (WHERE n = 17) AS grown_shard FROM walk WHERE j >= n GROUP BY doc_id"
+
+
+def _crc_table() -> list[int]:
+    """The 256 remainders of the CRC-32 polynomial, from its rule."""
+    out = []
+    for byte in range(256):
+        for _ in range(8):
+            byte = byte >> 1 ^ (0xEDB88320 if byte & 1 else 0)
+        out.append(byte)
+    return out
+
+
+#: CRC-32 of a text's bytes, byte by byte.
+_CRC = f"""xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(h) // 2 + 1), lambda i: ('0x' || substr(h, 2 * i - 1, 2))::BIGINT)),
+  lambda c, b: xor({_crc_table()}[(xor(c, b) & 255) + 1]::BIGINT, c >> 8)), 4294967295::BIGINT)"""
+SHARDING = f"""
+WITH shards AS ({SHARDS.strip().replace("WITH RECURSIVE", "WITH RECURSIVE", 1)}),
+sized AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+rows AS (SELECT doc_id, length(h) // 2 + 1 AS size, {_CRC} AS text_crc32,
+  (((CASE WHEN doc_id < 0 THEN 18446744073709551616::HUGEINT + doc_id ELSE doc_id::HUGEINT END) * 2862933555777941757 + 1) % 4294967296 // 256) % 1024 AS g FROM sized)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'key' AS law, CAST(shard AS INTEGER) AS shard,
+  CAST(row_number() OVER (PARTITION BY shard ORDER BY g, doc_id, size, text_crc32) - 1 AS BIGINT) AS slot, CAST(grown_shard AS INTEGER) AS grown_shard
+FROM rows JOIN shards USING (doc_id)"""
+
+SQL: dict[str, str] = {
+    "op5_licences": licences.oracle_sql(),
+    "op9_sharding": SHARDING,
+}

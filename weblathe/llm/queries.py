@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, html_text, neardup, neighbours, packing, pieces, pii, quality, sharding
+from . import chat, html_text, licences, neardup, neighbours, packing, pieces, pii, quality, sharding
 from .common import table
 
 
@@ -32,6 +32,11 @@ def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(vectors, vectors.filter("vec_id % 20 = 0"), k=20)
 
 
+def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with the licences of their whole texts and of their lines."""
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of all pages."""
     return html_text.extract(table(spark, sf_dir, "pages"))
@@ -64,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sentencepiece": op2_sentencepiece,
     "op3_quality_rules": op3_quality_rules,
     "op4_nearest_neighbours": op4_nearest_neighbours,
+    "op5_licences": op5_licences,
     "op6_html_extraction": op6_html_extraction,
     "op7_pii": op7_pii,
     "op8_chat_formatting": op8_chat_formatting,
