@@ -1 +1 @@
-
+"""Column functions: formats, line layouts, dates and referrers."""

@@ -1 +1 @@
-
+"""DataFrame operators: domains, filters, metrics and analyses."""
