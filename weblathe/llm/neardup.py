@@ -7,8 +7,9 @@
 2. Equal sets (128 bits of set digest) collapse into one representative, so exact copies cost one row each.
 3. Candidates share a band. No bucket is expanded into all its pairs: first its members meet one centre, confirmed links
    are contracted into components, members of other components meet another centre, and last only pairs *across*
-   components remain, which are all compared. No link between different texts can get lost on the way, as pairs within a
-   component add nothing to it.
+   components remain. Buckets of up to SMALL members list these; larger ones are dealt out in blocks of bounded size, in
+   which pairs are estimated and confirmed in place, so only links leave them. No link between different texts can get
+   lost on the way, as pairs within a component add nothing to it.
 4. A candidate pair is estimated by maximum likelihood from both sketches and set sizes; pairs far below the threshold go.
    The rest is confirmed on the full sets.
 5. Components come from contraction by random priorities, a few rounds in expectation whatever the shape.
@@ -43,6 +44,9 @@ SCALE = _random.integers(0, 1 << 63, REGISTERS, dtype=np.uint64) * np.uint64(2)
 SHIFT = _random.integers(0, 1 << 63, REGISTERS, dtype=np.uint64) * np.uint64(2)
 PLACE = _random.integers(0, 1 << 63, WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 BLOCK = 2048
+#: Buckets up to this size list their pairs across components; blocks of larger ones hold two chunks of about CHUNK members.
+SMALL, CHUNK = 16, 512
+SLACK = 14.0
 CACHED = 300_000
 
 
@@ -150,7 +154,7 @@ def full_sets(df: DataFrame) -> DataFrame:
     return df.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(run, "rep bigint, values array<bigint>")
 
 
-def likely(pairs: DataFrame, sketches: DataFrame, at: float, slack: float = 14.0) -> DataFrame:
+def likely(pairs: DataFrame, sketches: DataFrame, at: float, slack: float = SLACK) -> DataFrame:
     """The pairs (a, b) whose similarity may be ``at`` or more: the likelihood ratio leaves the rest no chance to speak of."""
     s = sketches.select("rep", "n", "bands")
     both = pairs.join(s.toDF("a", "n_a", "bands_a"), "a").join(s.toDF("b", "n_b", "bands_b"), "b").select("a", "b", "n_a", "n_b", "bands_a", "bands_b")
@@ -176,6 +180,62 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(F.lit(100) * F.col("_shared") >= F.lit(percent) * (F.col("_sum") - F.col("_shared"))).select("a", "b")
 
 
+def block_links(rep: np.ndarray, root: np.ndarray, side: np.ndarray, sketch: np.ndarray, sets: list[np.ndarray], band: int, both: bool, percent: int) -> list[tuple[int, int]]:
+    """Links across components within one block, confirmed on full sets.
+
+    ``both``: the block holds two chunks, and only pairs between its sides count. Pairs that share an earlier band belong
+    to that band's block. Confirmed links merge components at once, so pairs within one are not looked at again.
+    """
+    packed = np.ascontiguousarray(sketch.astype("<u2")).view("<i8")
+    n, at = np.array(list(map(len, sets)), float), percent / 100
+    to: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (y := to.get(x, x)) != x:
+            x = y
+        return x
+
+    found = []
+    for k in range(len(rep) - 1):
+        others = np.arange(k + 1, len(rep))
+        ok = (root[others] != root[k]) & (100 * np.minimum(n[others], n[k]) >= percent * np.maximum(n[others], n[k]))
+        if both:
+            ok &= side[others] != side[k]
+        others = others[ok]
+        others = others[~(packed[others, :band] == packed[k, :band]).any(1)]
+        if not len(others):
+            continue
+        best, below = similarity(np.broadcast_to(sketch[k], (len(others), REGISTERS)), sketch[others], np.full(len(others), n[k]), n[others], at)
+        maybe = np.flatnonzero((best >= at) | (below <= SLACK))
+        for j in others[maybe[np.argsort(-best[maybe])]]:
+            a, b = find(int(root[k])), find(int(root[j]))
+            if a == b:
+                continue
+            shared = len(np.intersect1d(sets[k], sets[j], assume_unique=True))
+            if 100 * shared >= percent * (len(sets[k]) + len(sets[j]) - shared):
+                found.append((int(min(rep[k], rep[j])), int(max(rep[k], rep[j]))))
+                to[max(a, b)] = min(a, b)
+    return found
+
+
+def confirm_blocks(blocks: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) of blocks: band, low, high (chunk numbers) and m, a list of (rep, root, side, bands, values)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: list[tuple[int, int]] = []
+            for k in range(batch.num_rows):
+                m = batch.column(3)[k].values
+                rep, root, side = (m.field(f).to_numpy() for f in ("rep", "root", "side"))
+                sketch = m.field("bands").flatten().to_numpy().view("<u2").reshape(-1, REGISTERS).astype(np.int32)
+                sets = [v.values.to_numpy() for v in m.field("values")]
+                order = np.argsort(rep)
+                found += block_links(rep[order], root[order], side[order], sketch[order], [sets[i] for i in order], batch.column(0)[k].as_py(), batch.column(1)[k] != batch.column(2)[k], percent)
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["a", "b"])
+
+    return blocks.select("band", "low", "high", "m").mapInArrow(run, "a bigint, b bigint")
+
+
 def components(scratch: Scratch, edges: DataFrame, name: str) -> DataFrame:
     """node, root of every node of the edges (a, b); equal roots mean connected. Hub nodes aggregate before shuffling.
 
@@ -236,17 +296,20 @@ def group(df: DataFrame, percent: int = 75) -> DataFrame:
     edges = scratch.keep(edges.unionByName(more), "edges-1")
     labels = components(scratch, edges, "parts-1")
 
-    # what is left: every pair across components of a bucket, and only those
+    # what is left: pairs across components of a bucket, and only those
     labelled = members.select("band", "value", "rep", "n").join(labels.toDF("rep", "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-    spans = labelled.groupBy("band", "value").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("band", "value")
-    open_ = scratch.keep(labelled.join(spans, ["band", "value"], "left_semi"), "open")
-    parts = open_.groupBy("band", "value", "root").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    left, right = parts.toDF("band", "value", "root_a", "least_a", "most_a"), parts.toDF("band", "value", "root_b", "least_b", "most_b")
-    reach = (F.lit(100) * F.col("most_a") >= F.lit(percent) * F.col("least_b")) & (F.lit(100) * F.col("most_b") >= F.lit(percent) * F.col("least_a"))
-    facing = left.join(right, ["band", "value"]).filter((F.col("root_a") < F.col("root_b")) & reach).select("band", "value", "root_a", "root_b")
-    across = facing.join(open_.toDF("band", "value", "x", "n_x", "root_a"), ["band", "value", "root_a"]).join(open_.toDF("band", "value", "y", "n_y", "root_b"), ["band", "value", "root_b"])
-    across = across.filter(near(F.col("n_x"), F.col("n_y"))).select(*ordered("x", "y")).distinct()
+    spans = labelled.groupBy("band", "value").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("size")).filter("lo <> hi").select("band", "value", "size")
+    open_ = scratch.keep(labelled.join(spans, ["band", "value"]), "open")
+    small = open_.filter(F.col("size") <= SMALL).drop("size")
+    across = small.toDF("band", "value", "x", "n_x", "root_a").join(small.toDF("band", "value", "y", "n_y", "root_b"), ["band", "value"])
+    across = across.filter((F.col("root_a") < F.col("root_b")) & near(F.col("n_x"), F.col("n_y"))).select(*ordered("x", "y")).distinct()
     more = links(across, "links-2")
+    large = open_.filter(F.col("size") > SMALL).withColumn("chunks", F.ceil(F.col("size") / F.lit(CHUNK)))
+    large = large.withColumn("side", F.pmod(F.xxhash64("rep", "band"), F.col("chunks"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)))
+    large = large.select("rep", "root", "band", "value", "side", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"))
+    held = large.join(sketched.select("rep", "bands"), "rep").join(sets, "rep")
+    blocks = held.groupBy("band", "value", "low", "high").agg(F.collect_list(F.struct("rep", "root", "side", "bands", "values")).alias("m"))
+    more = more.unionByName(scratch.keep(confirm_blocks(blocks, percent), "links-3"))
     labels = components(scratch, scratch.keep(edges.unionByName(more), "edges-2"), "parts-2")
 
     least = labels.groupBy("root").agg(F.min("node").alias("component"))
@@ -259,5 +322,7 @@ def group(df: DataFrame, percent: int = 75) -> DataFrame:
 
 def drop_copies(df: DataFrame, percent: int = 75) -> DataFrame:
     """The rows of ``df`` that stay when one document of each group does (the smallest doc_id), all columns as they are."""
-    gone = group(df, percent).filter("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return df.join(gone, F.col("doc_id").cast("bigint") == F.col("_gone"), "left_anti")
+    gone = group(df.select("doc_id", "text"), percent).filter("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
+    # the row travels as one value, so its columns can have any names
+    rows = df.select(F.struct(*(df[f"`{c}`"] for c in df.columns)).alias("_row"), df["doc_id"].cast("bigint").alias("_id"))
+    return rows.join(gone, F.col("_id") == F.col("_gone"), "left_anti").select("_row.*")
