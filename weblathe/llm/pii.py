@@ -21,6 +21,7 @@ from functools import cache
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .boosting import fit
 
@@ -131,7 +132,7 @@ def _candidates(df: DataFrame, text: str = "_text") -> DataFrame:
         placed = _places(f"_{name}_gaps", f"_{name}_hits", k)
         valid = f"transform(coalesce(_{name}_hits, array()), h -> {_valid(name, 'h')})"
         base.append(f"filter({placed}, (s, i) -> _{name}_valid[i])")
-        df = df.withColumn(f"_{name}_valid", _sql(valid))
+        df = df.withColumn(f"_{name}_valid", F.expr(valid))
         gaps, hits = f"_{name}_lgaps", f"_{name}_lhits"
         features = _features(k, "h", f"right({gaps}[i], 32)", f"left({gaps}[i + 1], 8)")
         more.append(f"arrays_zip({_places(gaps, hits, k)} AS span, transform(coalesce({hits}, array()), (h, i) -> {features}) AS f)".replace(" AS span", "").replace(" AS f)", ")"))
@@ -141,26 +142,20 @@ def _candidates(df: DataFrame, text: str = "_text") -> DataFrame:
     return df.selectExpr(*(f"`{c}`" for c in kept), f"concat({rename}) AS _more")
 
 
-def _sql(text: str):
-    from pyspark.sql import functions as F
-
-    return F.expr(text)
-
-
 def find(df: DataFrame, text: str = "text") -> DataFrame:
     """Add _base and _spans: arrays of (start, end, kind number), by start, then kind."""
     model, thresholds = trained(df.sparkSession)
-    df = _candidates(df.withColumn("_text", _sql(f"coalesce(CAST(`{text}` AS STRING), '')")))
+    df = _candidates(df.withColumn("_text", F.expr(f"coalesce(CAST(`{text}` AS STRING), '')")))
     score = model.sql("m.f.")
     limit = "CASE m.span.kind " + " ".join(f"WHEN {k} THEN {t!r}D" for k, t in enumerate(thresholds)) + " END"
     free = "NOT exists(_base, b -> b.start < m.span.end AND b.end > m.span.start)"
     chosen = f"transform(filter(_more, m -> {free} AND {score} >= {limit}), m -> named_struct('start', m.span.start, 'less', -m.span.end, 'end', m.span.end, 'kind', m.span.kind))"
     first = f"named_struct('to', 0, 'out', CAST(array() AS {SPANS}))"
     step = "IF(c.start >= s.to, named_struct('to', c.end, 'out', array_append(s.out, named_struct('start', c.start, 'end', c.end, 'kind', c.kind))), s)"
-    df = df.withColumn("_chosen", _sql(f"array_sort({chosen})")).drop("_more")
-    df = df.withColumn("_added", _sql(f"aggregate(_chosen, {first}, (s, c) -> {step}, s -> s.out)")).drop("_chosen")
+    df = df.withColumn("_chosen", F.expr(f"array_sort({chosen})")).drop("_more")
+    df = df.withColumn("_added", F.expr(f"aggregate(_chosen, {first}, (s, c) -> {step}, s -> s.out)")).drop("_chosen")
     order = "(a, b) -> CASE WHEN a.start <> b.start THEN a.start - b.start WHEN a.kind <> b.kind THEN a.kind - b.kind ELSE a.end - b.end END"
-    return df.withColumn("_spans", _sql(f"array_sort(concat(_base, _added), {order})")).withColumn("_base", _sql(f"array_sort(_base, {order})")).drop("_added", "_text")
+    return df.withColumn("_spans", F.expr(f"array_sort(concat(_base, _added), {order})")).withColumn("_base", F.expr(f"array_sort(_base, {order})")).drop("_added", "_text")
 
 
 def _written(spans: str) -> str:
@@ -182,17 +177,19 @@ def redact(df: DataFrame, text: str = "text") -> DataFrame:
     last = "s.out[size(s.out) - 1]"
     join = f"concat(slice(s.out, 1, size(s.out) - 1), array(named_struct('start', {last}.start, 'end', greatest({last}.end, x.end), 'kind', {last}.kind)))"
     step = f"IF(x.start < s.to, named_struct('to', greatest(s.to, x.end), 'out', {join}), named_struct('to', x.end, 'out', array_append(s.out, x)))"
-    found = find(df, text).withColumn("_apart", _sql(f"aggregate(_spans, {zero}, (s, x) -> {step}, s -> s.out)"))
-    piece = f"concat(substr(`{text}`, IF(i = 0, 0, _apart[i - 1].end) + 1, x.start - IF(i = 0, 0, _apart[i - 1].end)), {tags}[x.kind])"
-    whole = f"concat(array_join(transform(_apart, (x, i) -> {piece}), ''), substr(`{text}`, _apart[size(_apart) - 1].end + 1))"
-    new = f"IF(size(_apart) = 0, `{text}`, {whole}) AS `{text}`"
-    return found.selectExpr(*(new if c == text else f"`{c}`" for c in columns))
+    # the row travels as one value, so its columns can have any names
+    rows = df.select(F.struct(*(df[f"`{c}`"] for c in columns)).alias("_row"), df[f"`{text}`"].cast("string").alias("_in"))
+    found = find(rows, "_in").withColumn("_apart", F.expr(f"aggregate(_spans, {zero}, (s, x) -> {step}, s -> s.out)"))
+    piece = f"concat(substr(_in, IF(i = 0, 0, _apart[i - 1].end) + 1, x.start - IF(i = 0, 0, _apart[i - 1].end)), {tags}[x.kind])"
+    whole = f"concat(array_join(transform(_apart, (x, i) -> {piece}), ''), substr(_in, _apart[size(_apart) - 1].end + 1))"
+    new = f"IF(size(_apart) = 0, _in, {whole}) AS `{text}`"
+    return found.selectExpr(*(new if c == text else f"_row.`{c}`" for c in columns))
 
 
 def redact_documents(df: DataFrame) -> DataFrame:
     """Redacted documents with the same columns; n_chars follows the text."""
     out = redact(df)
-    return out.withColumn("n_chars", _sql("CAST(length(text) AS BIGINT)")) if "n_chars" in out.columns else out
+    return out.withColumn("n_chars", F.expr("CAST(length(text) AS BIGINT)")) if "n_chars" in out.columns else out
 
 
 def training_texts(rows: int, seed: int = 7) -> list[tuple[str, str, int, int]]:

@@ -155,7 +155,7 @@ def measure_all(df: DataFrame) -> DataFrame:
 def posteriors(votes: DataFrame) -> DataFrame:
     """votes, posterior: one row for each vote pattern of documents that pass the base rules."""
     counts = {r["votes"]: r["n"] for r in votes.filter("NOT base_failed").groupBy("votes").agg(F.count(F.lit(1)).alias("n")).collect()}
-    fitted = estimate(counts)
+    fitted = estimate(dict(sorted(counts.items())))
     return votes.sparkSession.createDataFrame([(c, posterior(c, *fitted)) for c in counts], "votes int, posterior double")
 
 
@@ -182,7 +182,8 @@ def keep_good(df: DataFrame, threshold: float = 0.5) -> DataFrame:
 
     The votes are worked out twice, to count them and to filter, rather than writing or shuffling the texts.
     """
-    voted = df.withColumn("_votes", _votes(F.col("text").cast("string")))
+    # the row travels as one value, so its columns can have any names
+    voted = df.select(F.struct(*(df[f"`{c}`"] for c in df.columns)).alias("_row"), _votes(df["text"].cast("string")).alias("_votes"))
     counted = voted.select(F.col("_votes").alias("votes"), (F.col("_votes") < 0).alias("base_failed"))
     good = posteriors(counted).filter(F.col("posterior") >= threshold).select(F.col("votes").alias("_votes"))
-    return voted.join(F.broadcast(good), "_votes", "left_semi").drop("_votes")
+    return voted.join(F.broadcast(good), "_votes", "left_semi").select("_row.*")
