@@ -26,7 +26,7 @@ def documents(spark, texts):
 def texts(spark):
     rows = [(r["doc_id"], r["text"]) for r in table(spark, DATA, "documents").collect()]
     long = " ".join(f"w{k}" for k in range(30_000))
-    return [*rows, (9001, None), (9002, ""), (9003, " \n\t"), (9004, "one two"), (9005, "one  two"), (9006, "x" * 50_000), (9007, long), (9008, long + " end"), (9009, "漢字 😀 é▁ <|endoftext|> a@b.co")]
+    return [*rows, (9001, None), (9002, ""), (9003, " \n\t"), (9004, "one two"), (9005, "one  two"), (9006, "x" * 20_000), (9007, long), (9008, long + " end"), (9009, "漢字 😀 é▁ <|endoftext|> a@b.co")]
 
 
 # 1
@@ -250,7 +250,7 @@ def _counts(kind, hit):
 
 def test_personal_data(spark, texts):
     r = random.Random(8)
-    cases = ["a@b.c._x@d.e 1.2.3.4.5 256.1.1.1 0001.2.3.4", "+1 (743) 555-3824", "4465 7583 8288 9437 4465758382889437 4465758382889437", "1--2 1 2 3", "é 1.2.3.4 😀 x@y.zz", "1" * 20_000 + " 1" * 5_000 + "a." * 5_000 + "@" + "b." * 5_000]
+    cases = ["a@b.c._x@d.e 1.2.3.4.5 256.1.1.1 0001.2.3.4", "+1 (743) 555-3824", "4465 7583 8288 9437 4465758382889437 4465758382889437", "1--2 1 2 3", "é 1.2.3.4 😀 x@y.zz", "1" * 9_000 + " 1" * 9_000 + "a." * 4_000 + "@" + "b." * 9_000]
     cases += ["".join(r.choice(["1", "22", "4111111111111111", ".", " ", "-", "+", "(", ")", "@", "a", "b.c", "\n", "x@y.z", "1.2.3.4"]) for _ in range(40)) for _ in range(60)]
     rows = [*texts, *((20_000 + k, t) for k, t in enumerate(cases))]
     out = pii.report(documents(spark, rows)).collect()

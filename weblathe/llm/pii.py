@@ -29,12 +29,12 @@ KINDS = ("email", "ip", "card", "phone")
 SPANS = "ARRAY<STRUCT<start: INT, end: INT, kind: INT>>"
 TRAINING_ROWS, TREES, DEPTH, LEAST_PRECISION = 3000, 30, 3, 0.98
 
-#: The base patterns. Look-behinds skip starts inside a run that has failed as a whole; \G keeps starts after a match.
+#: The base patterns. A card's match is a whole run of digits, so shorter runs than twelve need not match. Look-behinds skip starts inside a run that has failed as a whole; \G keeps starts after a match.
 _LOCAL = "[A-Za-z0-9._%+-]"
 BASE = {
     "email": rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)++",
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
-    "card": r"[0-9](?:[\x20-]?[0-9])++",
+    "card": r"[0-9](?:[\x20-]?[0-9]){11,}+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 #: Generators of further candidates.
