@@ -38,7 +38,31 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_
   CAST(row_number() OVER (PARTITION BY shard ORDER BY g, doc_id, size, text_crc32) - 1 AS BIGINT) AS slot, CAST(grown_shard AS INTEGER) AS grown_shard
 FROM rows JOIN shards USING (doc_id)"""
 
+#: Windows of at most 512 tokens and 128 of history, turn by turn; prefix sums give each turn's history.
+_ESCAPED = "length(replace(replace(replace(replace({}, '&', '&amp;'), '<', '&lt;'), '[', '&#91;'), ']', '&#93;'))"
+CHATS = rf"""
+WITH RECURSIVE said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT * FROM (VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')) AS v(conv_id, turn, role, text)),
+turns AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS i, len(regexp_extract_all(text, '[A-Za-z0-9]+|[^A-Za-z0-9\s]')) + 4 AS tok,
+  11 + {_ESCAPED.format('role')} + {_ESCAPED.format('text')} AS c FROM said),
+sums AS (SELECT *, sum(tok) OVER w - tok AS before, sum(c) OVER w - c AS c_before, first_value(role) OVER w = 'system' AS led, first_value(tok) OVER w AS lead_tok, first_value(c) OVER w AS lead_c
+  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY i)),
+past AS (SELECT a.conv_id, a.i, max(a.before - b.before) AS held, max(a.c_before - b.c_before) AS held_c FROM sums a JOIN sums b ON a.conv_id = b.conv_id AND b.i <= a.i
+  AND b.i >= (CASE WHEN a.led THEN 1 ELSE 0 END) AND a.before - b.before <= 128 GROUP BY 1, 2),
+steps AS (SELECT s.*, CASE WHEN led THEN lead_tok ELSE 0 END AS system, CASE WHEN led THEN lead_c ELSE 0 END AS system_c, coalesce(held, 0) AS held, coalesce(held_c, 0) AS held_c FROM sums s LEFT JOIN past USING (conv_id, i)),
+walk AS (SELECT conv_id, i, CAST(tok AS BIGINT) AS used, CAST(0 AS BIGINT) AS extra FROM steps WHERE i = 0
+  UNION ALL SELECT s.conv_id, s.i, CAST(CASE WHEN w.used + s.tok <= 512 THEN w.used + s.tok WHEN s.held + s.system + s.tok <= 512 THEN s.held + s.system + s.tok ELSE s.system + s.tok END AS BIGINT),
+    CAST(CASE WHEN w.used + s.tok <= 512 THEN 0 WHEN s.held + s.system + s.tok <= 512 THEN s.held_c + s.system_c ELSE s.system_c END AS BIGINT)
+  FROM walk w JOIN steps s ON s.conv_id = w.conv_id AND s.i = w.i + 1),
+extra AS (SELECT conv_id, sum(extra) AS extra FROM walk GROUP BY 1)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars, sha256(coalesce(string_agg(text, '' ORDER BY i) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(c) + any_value(extra) AS BIGINT) AS formatted_chars
+FROM turns JOIN extra USING (conv_id) GROUP BY conv_id"""
+
 SQL: dict[str, str] = {
     "op5_licences": licences.oracle_sql(),
+    "op8_chat_formatting": CHATS,
     "op9_sharding": SHARDING,
 }
