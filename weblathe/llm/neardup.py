@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, small_batches
 
 WORDS = 5
 BANDS, ROWS = 32, 4
@@ -47,7 +47,7 @@ BLOCK = 2048
 #: Buckets up to this size list their pairs across components; blocks of larger ones hold two chunks of about CHUNK members.
 SMALL, CHUNK = 16, 512
 SLACK = 14.0
-CACHED = 300_000
+CACHED = 150_000
 
 
 class _Words(dict):
@@ -126,7 +126,7 @@ def sketch(df: DataFrame) -> DataFrame:
     """doc_id, n (set size), set_a, set_b (digest of the set) and bands (packed registers) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             n, a, b, bands = [], [], [], []
             for text in batch.column(1).to_pylist():
                 values = shingles(text)
@@ -143,13 +143,11 @@ def full_sets(df: DataFrame) -> DataFrame:
     """rep and values (the whole shingle set) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, ids = batch.column(1), batch.column(0)
-            for k in range(0, len(texts), 64):  # small batches: the sets are as large as the texts
-                sets = [shingles(t).view(np.int64) for t in texts.slice(k, 64).to_pylist()]
-                offsets = np.cumsum([0, *map(len, sets)]).astype(np.int32)
-                values = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets) if sets else np.zeros(0, np.int64)))
-                yield pa.RecordBatch.from_arrays([ids.slice(k, 64), values], names=["rep", "values"])
+        for batch in small_batches(batches, 64):
+            sets = [shingles(t).view(np.int64) for t in batch.column(1).to_pylist()]
+            offsets = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+            values = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), values], names=["rep", "values"])
 
     return df.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(run, "rep bigint, values array<bigint>")
 
@@ -160,9 +158,7 @@ def likely(pairs: DataFrame, sketches: DataFrame, at: float, slack: float = SLAC
     both = pairs.join(s.toDF("a", "n_a", "bands_a"), "a").join(s.toDF("b", "n_b", "bands_b"), "b").select("a", "b", "n_a", "n_b", "bands_a", "bands_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in small_batches(batches, 2048):
             n_a, n_b = (batch.column(k).to_numpy().astype(float) for k in (2, 3))
             left, right = (batch.column(k).flatten().to_numpy().view("<u2").reshape(-1, REGISTERS).astype(np.int32) for k in (4, 5))
             best, below = similarity(left, right, n_a, n_b, at)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, small_batches
 from .tokens import byte_bpe
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -35,7 +35,7 @@ def tokenize(df: DataFrame, width: int = 1024, end_id: int = 2, with_ids: bool =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = byte_bpe(*files), int(end_id).to_bytes(4, "little")
-        for batch in batches:
+        for batch in small_batches(batches):
             out: tuple[list, ...] = ([], [], [], [], [], [])
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 ids = encoder.ids(text or "") + end

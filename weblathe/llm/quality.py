@@ -18,12 +18,11 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, small_batches
 
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\x0b\x0c\r"
@@ -145,8 +144,8 @@ def measure_all(df: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int32())
         names = ["doc_id", *(c.split()[0] for c in COLUMNS.split(", "))]
-        for batch in batches:
-            columns = list(zip(*(measure(t) for t in batch.column(1).to_pylist()), strict=True)) or [()] * len(types)
+        for batch in small_batches(batches):
+            columns = list(zip(*(measure(t) for t in batch.column(1).to_pylist()), strict=True))
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(columns, types, strict=True))], names=names)
 
     return df.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(run, "doc_id bigint, " + COLUMNS)
@@ -169,10 +168,11 @@ def judge(df: DataFrame, threshold: float = 0.5) -> DataFrame:
 
 
 def _votes(text: Column) -> Column:
-    @F.pandas_udf("int")
-    def code(texts: pd.Series) -> pd.Series:
-        found = (measure(t) for t in texts)
-        return pd.Series([-1 if m[5] else m[6] for m in found], dtype="int32")
+    @F.arrow_udf("int")
+    def code(texts: pa.Array) -> pa.Array:
+        # a few texts at a time: Arrow counts rows, not bytes, and texts can be long
+        found = (measure(t) for k in range(0, len(texts), 256) for t in texts.slice(k, 256).to_pylist())
+        return pa.array([-1 if m[5] else m[6] for m in found], pa.int32())
 
     return code(text)
 

@@ -16,7 +16,7 @@ from functools import cache
 import numpy as np
 
 #: Chunks that a worker remembers, and the longest that it remembers; both bound memory only.
-CACHED, CACHED_CHARS = 300_000, 40
+CACHED, CACHED_CHARS = 200_000, 40
 _TOUCHING = re.compile(r" \s|\s ")
 _WIDE = re.compile("[^\x00-ɏ]")
 SPECIAL = "<|endoftext|>"
