@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 
 from weblathe.llm import chat, html_text, licences, neardup, neighbours, oracle, packing, pieces, pii, quality, queries, sharding
-from weblathe.llm.common import table
+from weblathe.llm.common import Scratch, table
 
 DATA = "/root/testdata/sf0.001"
 DOCS = "doc_id bigint, text string, _row string, _text string, _votes int, rep string, n string, text_crc32 string"
@@ -177,6 +177,23 @@ def test_neighbours(spark, monkeypatch):
     assert set(by) == set(range(0, 900, 20)) and hits >= 0.9 * 45 * 20
 
 
+def test_neighbour_graph_from_a_poor_start(spark, monkeypatch):
+    """Rounds go on until little changes: from leaves of four the graph still gets nearly all true neighbours."""
+    monkeypatch.setattr(neighbours, "LEAF", 4)
+    x = np.random.default_rng(4).normal(size=(2000, 24))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    scratch = Scratch(spark)
+    packed = scratch.keep(neighbours._quantise(neighbours.load(df), 24), "packed")
+    score = x @ x.T
+    np.fill_diagonal(score, -np.inf)
+    true = np.argsort(-score, axis=1)[:, : neighbours.DEGREE]
+    graph = {r["id"]: [e["id"] for e in r["near"]] for r in neighbours.build(packed, 2000, 24, scratch).collect()}
+    assert all(len(set(near)) == len(near) for near in graph.values())
+    share = sum(len(set(graph[k]) & set(true[k].tolist())) for k in range(2000)) / true.size
+    assert share >= 0.9, share
+
+
 def test_neighbours_of_few(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, [0.5, -0.5])], "vec_id bigint, embedding array<double>")
     out = sorted(map(tuple, neighbours.search(df, df.filter("vec_id = 0")).collect()))

@@ -4,12 +4,13 @@
 2. Start: every vector joins one leaf in each of PARTITIONS partitions of the space by random hyperplanes. A leaf larger
    than LEAF is split at random, so its size is bounded whatever the data; within leaves all pairs are scored by blocks.
 3. NN-descent: each node gathers a sample of its neighbours and of those whose neighbour it is (iterative joins), scores
-   the pairs among them and offers each the others that beat its present worst. Every node keeps DEGREE neighbours.
-4. Search: a query starts at its own node and expands the best unexpanded nodes of its beam, HOPS times; the best by
-   8-bit score are scored again on the original vectors in double precision.
+   the pairs among them and offers each the others that beat its present worst. Every node keeps DEGREE neighbours. Rounds
+   go on until one changes at most SETTLED of the neighbours; lists only improve, so they end.
+4. Search: a query starts at its own node and expands the best unexpanded nodes of its beam until all of its beam is
+   expanded; the best by 8-bit score are scored again on the original vectors in double precision.
 
-Samples and beams bound work a node and a query; their recall is measured against brute force in tests/llm. Nothing else
-is capped: every vector is indexed.
+Samples and beams bound work a node, a round and a hop, and beams widen with the logarithm of the table; recall is measured against brute force in tests/llm and, by table
+size, in the README. Nothing else is capped: every vector is indexed, and rounds and hops are as many as the table needs.
 
 Cases: vectors that are null, zero, of another length than the longest, or hold null or non-finite components take no
 part, nor do rows without vec_id; of rows with one vec_id the least vector counts; ties go to the smaller vec_id; a query
@@ -25,10 +26,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, small_batches
 
-PARTITIONS, LEAF, DEGREE, SAMPLE, OFFERS, ROUNDS = 16, 800, 32, 16, 12, 3
-BEAM, EXPAND, HOPS, SEEN, RESCORED = 256, 64, 6, 2048, 96
+PARTITIONS, LEAF, DEGREE, SAMPLE, OFFERS, SETTLED = 16, 800, 32, 16, 12, 0.01
+BEAM, EXPAND, SEEN, RESCORED = 256, 64, 2048, 96
+#: Vectors up to which BEAM and SEEN suffice as they are; each doubling beyond adds half of them.
+BASE = 10_000
+#: Up to this length a product of 8-bit vectors is a whole number that single precision holds.
+EXACT = 2**24 // 127**2
 SEED = 5
 NEIGHBOURS = "array<struct<score: float, id: bigint>>"
 
@@ -36,7 +41,8 @@ NEIGHBOURS = "array<struct<score: float, id: bigint>>"
 def _matrix(column: pa.Array) -> np.ndarray:
     """Rows of 8-bit components from a binary column."""
     raw = b"".join(column.to_pylist())
-    return np.frombuffer(raw, np.int8).reshape(len(column), -1).astype(np.float32)
+    x = np.frombuffer(raw, np.int8).reshape(len(column), -1)
+    return x.astype(np.float32 if x.shape[1] <= EXACT else np.float64)
 
 
 def _struct_list(offsets: list[int], scores: np.ndarray, ids: np.ndarray) -> pa.ListArray:
@@ -77,10 +83,9 @@ def _blocks(groups: DataFrame, most: int, floor: bool) -> DataFrame:
             for k in range(len(members)):
                 m = members[k].values
                 own = m.field("id").to_numpy()
-                x = _matrix(m.field("q")) * m.field("scale").to_numpy()[:, None]
-                s = x @ x.T
-                # both directions of a pair get the same score
-                s = np.maximum(s, s.T)
+                x, scale = _matrix(m.field("q")), m.field("scale").to_numpy()
+                # whole products: a pair gets the same score in every block and in both directions
+                s = (x @ x.T).astype(np.float32) * np.outer(scale, scale)
                 np.fill_diagonal(s, -np.inf)
                 if floor:
                     s[s <= m.field("worst").to_numpy()[:, None]] = -np.inf
@@ -100,10 +105,30 @@ def _blocks(groups: DataFrame, most: int, floor: bool) -> DataFrame:
     return groups.mapInArrow(run, f"id bigint, near {NEIGHBOURS}")
 
 
-def _best(lists: str, most: int) -> str:
-    """The best distinct neighbours of an array, by score, ties to smaller ids; one id may come with scores that round apart."""
-    order = "(a, b) -> CASE WHEN a.score > b.score THEN -1 WHEN a.score < b.score THEN 1 WHEN a.id < b.id THEN -1 WHEN a.id > b.id THEN 1 ELSE 0 END"
-    return f"slice(array_sort(array_distinct({lists}), {order}), 1, {most})"
+def _merge(lists: DataFrame) -> DataFrame:
+    """id, near: the best DEGREE distinct of the lists near and more (or null), by score, ties to smaller ids; changed: how many are from more only.
+
+    One id always comes with one score.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches):
+            n, parts = batch.num_rows, []
+            for fresh, column in enumerate(batch.columns[1:]):
+                flat, sizes = column.flatten(), column.value_lengths().fill_null(0).to_numpy()
+                parts.append((np.repeat(np.arange(n), sizes), -flat.field("score").to_numpy(), flat.field("id").to_numpy(), np.full(len(flat), fresh)))
+            row, cost, other, fresh = map(np.concatenate, zip(*parts, strict=True))
+            order = np.lexsort((fresh, other, cost, row))
+            row, cost, other, fresh = row[order], cost[order], other[order], fresh[order]
+            first = np.ones(len(row), bool)
+            first[1:] = (row[1:] != row[:-1]) | (other[1:] != other[:-1])
+            row, cost, other, fresh = row[first], cost[first], other[first], fresh[first]
+            best = np.arange(len(row)) - np.searchsorted(row, row) < DEGREE
+            row, cost, other, fresh = row[best], cost[best], other[best], fresh[best]
+            offsets = [0, *np.cumsum(np.bincount(row, minlength=n)).tolist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), _struct_list(offsets, -cost, other), pa.array(np.bincount(row, fresh, n).astype(np.int64))], names=["id", "near", "changed"])
+
+    return lists.select("id", "near", "more").mapInArrow(run, f"id bigint, near {NEIGHBOURS}, changed bigint")
 
 
 def _start(packed: DataFrame, n: int, dim: int) -> DataFrame:
@@ -129,9 +154,11 @@ def _start(packed: DataFrame, n: int, dim: int) -> DataFrame:
 
 def build(packed: DataFrame, n: int, dim: int, scratch: Scratch) -> DataFrame:
     """The neighbour graph: id and near, DEGREE neighbours by descending score."""
-    offers = _start(packed, n, dim).groupBy("id").agg(F.flatten(F.collect_list("near")).alias("near"))
-    graph = scratch.keep(packed.select("id").join(offers, "id", "left").select("id", F.expr(_best(f"coalesce(near, CAST(array() AS {NEIGHBOURS}))", DEGREE)).alias("near")), "graph-0")
-    for step in range(ROUNDS if n > LEAF else 0):
+    offers = _start(packed, n, dim).groupBy("id").agg(F.flatten(F.collect_list("near")).alias("more"))
+    empty = F.expr(f"CAST(array() AS {NEIGHBOURS})")
+    graph = scratch.keep(_merge(packed.select("id", empty.alias("near")).join(offers, "id", "left")), "graph-0")
+    step, unsettled = 0, n > LEAF
+    while unsettled:
         edges = graph.select("id", F.explode("near.id").alias("other"))
         rank = f"row_number() OVER (PARTITION BY %s ORDER BY xxhash64(id, other, {step})) AS r"
         # Spark limits each rank before its shuffle as well, so hubs don't meet in one task
@@ -142,14 +169,17 @@ def build(packed: DataFrame, n: int, dim: int, scratch: Scratch) -> DataFrame:
         points = packed.join(worst, "id")
         members = pairs.join(points, pairs["member"] == points["id"]).groupBy("at").agg(F.collect_list(F.struct("id", "q", "scale", "worst")).alias("m")).select("m")
         offers = _blocks(members, OFFERS, True).filter("size(near) > 0").groupBy("id").agg(F.flatten(F.collect_list("near")).alias("more"))
-        graph = graph.join(offers, "id", "left").select("id", F.expr(_best(f"concat(near, coalesce(more, CAST(array() AS {NEIGHBOURS})))", DEGREE)).alias("near"))
-        graph = scratch.keep(graph, f"graph-{step + 1}")
+        graph = scratch.keep(_merge(graph.join(offers, "id", "left")), f"graph-{step + 1}")
+        unsettled = graph.agg(F.sum("changed")).first()[0] > SETTLED * n * DEGREE
         scratch.drop(f"graph-{step}")
+        step += 1
     return graph
 
 
-def _walk(graph: DataFrame, packed: DataFrame, queries: DataFrame, scratch: Scratch, hops: int) -> DataFrame:
-    """id and seen: the nodes that a query has met, best first."""
+def _walk(graph: DataFrame, packed: DataFrame, queries: DataFrame, n: int, scratch: Scratch) -> DataFrame:
+    """id and seen: the nodes that a query has met, best first, when its whole beam is expanded."""
+    wide = 1 + max(0.0, np.log2(max(1, n) / BASE)) / 2
+    width, most = int(BEAM * wide), int(SEEN * wide)
     start = graph.join(queries, "id", "left_semi").join(packed, "id").selectExpr("id", "q", "scale", "transform(near, x -> named_struct('score', x.score, 'id', x.id, 'done', false)) AS seen")
     state = scratch.keep(start, "walk-0")
     kind = pa.struct([("score", pa.float32()), ("id", pa.int64()), ("done", pa.bool_())])
@@ -160,31 +190,33 @@ def _walk(graph: DataFrame, packed: DataFrame, queries: DataFrame, scratch: Scra
             for k in range(batch.num_rows):
                 seen, new = batch.column(3)[k].values, batch.column(4)[k].values
                 score, ids, done = seen.field("score").to_numpy(), seen.field("id").to_numpy(), seen.field("done").to_numpy(zero_copy_only=False).copy()
-                beam = np.flatnonzero(~done[:BEAM])[:EXPAND]
+                beam = np.flatnonzero(~done[:width])[:EXPAND]
                 done[beam] = True
                 if new is not None and len(new):
-                    x = np.frombuffer(batch.column(1)[k].as_py(), np.int8).astype(np.float32) * batch.column(2)[k].as_py()
-                    value = (_matrix(new.field("q")) @ x) * new.field("scale").to_numpy()
+                    x = _matrix(batch.column(1).slice(k, 1))[0]
+                    value = (_matrix(new.field("q")) @ x).astype(np.float32) * (new.field("scale").to_numpy() * np.float32(batch.column(2)[k].as_py()))
                     score, ids, done = np.concatenate([score, value]), np.concatenate([ids, new.field("id").to_numpy()]), np.concatenate([done, np.zeros(len(new), bool)])
-                order = np.lexsort((ids, -score))[:SEEN]
+                order = np.lexsort((ids, -score))[:most]
                 lists.append((score[order], ids[order], done[order]))
                 offsets.append(offsets[-1] + len(order))
             columns = [np.concatenate(c) if lists else np.zeros(0) for c in (zip(*lists, strict=True) if lists else [(), (), ()])]
             inner = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, kind, strict=True)], names=["score", "id", "done"])
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), inner)], names=["id", "q", "scale", "seen"])
 
-    for hop in range(hops):
-        frontier = state.selectExpr("id", f"explode(slice(filter(slice(seen, 1, {BEAM}), x -> NOT x.done), 1, {EXPAND}).id) AS node")
+    hop = 0
+    while not state.filter(f"exists(slice(seen, 1, {width}), x -> NOT x.done)").isEmpty():
+        frontier = state.selectExpr("id", f"explode(slice(filter(slice(seen, 1, {width}), x -> NOT x.done), 1, {EXPAND}).id) AS node")
         reached = frontier.join(graph.select(F.col("id").alias("node"), F.col("near.id").alias("near")), "node").groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
         new = reached.join(state.select("id", F.col("seen.id").alias("old")), "id").select("id", F.explode(F.array_except("near", F.array_append("old", F.col("id")))).alias("node"))
         found = new.join(packed.toDF("node", "_q", "_scale"), "node").groupBy("id").agg(F.collect_list(F.struct(F.col("node").alias("id"), F.col("_q").alias("q"), F.col("_scale").alias("scale"))).alias("new"))
         state = state.join(found, "id", "left").select("id", "q", "scale", "seen", "new").mapInArrow(run, "id bigint, q binary, scale float, seen array<struct<score: float, id: bigint, done: boolean>>")
         state = scratch.keep(state, f"walk-{hop + 1}")
         scratch.drop(f"walk-{hop}")
+        hop += 1
     return state
 
 
-def search(df: DataFrame, queries: DataFrame, k: int = 20, id: str = "vec_id", vector: str = "embedding", hops: int = HOPS) -> DataFrame:
+def search(df: DataFrame, queries: DataFrame, k: int = 20, id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """The k nearest others of each queried row of ``df``: query_id, rank, vec_id, score. ``queries`` has ids in ``id``."""
     scratch = Scratch(df.sparkSession)
     full = scratch.keep(load(df, id, vector), "vectors")
@@ -195,7 +227,7 @@ def search(df: DataFrame, queries: DataFrame, k: int = 20, id: str = "vec_id", v
     graph = build(packed, n, dim, scratch)
     asked = queries.select(F.col(id).cast("bigint").alias("id")).distinct()
     # within one leaf the graph starts from all pairs, and a walk from all of a query's neighbours
-    seen = _walk(graph, packed, asked, scratch, hops)
+    seen = _walk(graph, packed, asked, n, scratch)
     pairs = seen.selectExpr("id AS query_id", f"explode(slice(seen, 1, {max(RESCORED, 4 * k)}).id) AS vec_id")
     pairs = pairs.join(full.toDF("vec_id", "_v"), "vec_id").join(full.toDF("query_id", "_u"), "query_id")
     scored = pairs.select("query_id", "vec_id", F.expr("aggregate(zip_with(_u, _v, (x, y) -> x * y), 0D, (s, x) -> s + x)").alias("score"))
