@@ -220,6 +220,20 @@ def test_licence_spellings(spark):
     assert out == {1: ("MIT", ""), 2: ("MIT", ""), 3: (None, ""), 4: (None, ""), 5: (None, ""), 6: (None, "MIT")}
 
 
+def test_public_licence_texts_and_notices(spark):
+    apache = (licences.Path(licences.__file__).parent / "licence_texts/Apache-2.0.txt").read_text()
+    gpl = (licences.Path(licences.__file__).parent / "licence_texts/GPL-3.0.txt").read_text()
+    rows = [(1, "intro\nLicensed under CC BY-NC 4.0.\nend"), (2, apache), (3, apache.replace("[yyyy] [name of copyright owner]", "2019 Foo")), (4, " ".join(gpl.split("END OF TERMS")[0].split()) + " END OF TERMS AND CONDITIONS"), (5, "SPDX-License-Identifier: MPL-2.0")]
+    out = {r["doc_id"]: (r["licence"], r["notices"]) for r in licences.scan(documents(spark, rows)).collect()}
+    assert out[1] == (None, "CC-BY-NC-4.0") and [out[k][0] for k in (2, 3, 5)] == ["Apache-2.0", "Apache-2.0", "MPL-2.0"]
+    # reflowed to one line, the copyright line can't be told from the rest
+    assert out[4][0] is None
+    rows = [(k, t) for k, (_, t) in enumerate(licences.KNOWN)]
+    names = {r["doc_id"]: r["licence"] for r in licences.scan(documents(spark, rows)).collect()}
+    assert {"GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0", "Unlicense"} <= set(names.values())
+    assert all(names[k] == name for k, (name, _) in enumerate(licences.KNOWN))
+
+
 # 6
 
 

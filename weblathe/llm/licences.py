@@ -13,6 +13,8 @@ equal results; empty tables give no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,6 +47,32 @@ _BSD_TAIL = (
     "PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING "
     "NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
 )
+#: Licences and how notices name them. Fixed values.
+NAMES = (
+    ("MIT", "the MIT License"), ("Apache-2.0", "the Apache License, Version 2.0"), ("Apache-2.0", "the Apache License 2.0"), ("ISC", "the ISC License"), ("BSD-2-Clause", "the BSD 2-Clause License"),
+    ("BSD-3-Clause", "the BSD 3-Clause License"), ("GPL-2.0", "the GNU General Public License, version 2"), ("GPL-3.0", "the GNU General Public License, version 3"),
+    ("GPL-2.0", "the GNU General Public License v2.0"), ("GPL-3.0", "the GNU General Public License v3.0"), ("LGPL-2.1", "the GNU Lesser General Public License, version 2.1"),
+    ("LGPL-3.0", "the GNU Lesser General Public License, version 3"), ("AGPL-3.0", "the GNU Affero General Public License, version 3"), ("MPL-2.0", "the Mozilla Public License, version 2.0"),
+    ("MPL-2.0", "the Mozilla Public License 2.0"), ("Unlicense", "the Unlicense"), ("BSL-1.0", "the Boost Software License, Version 1.0"), ("CC0-1.0", "CC0 1.0"),
+    *((f"CC-{k}-4.0", name) for k, long in (("BY", ""), ("BY-SA", "-ShareAlike"), ("BY-NC", "-NonCommercial"), ("BY-ND", "-NoDerivatives"), ("BY-NC-SA", "-NonCommercial-ShareAlike"), ("BY-NC-ND", "-NonCommercial-NoDerivatives"))
+      for name in (f"CC {k} 4.0", f"a Creative Commons Attribution{long} 4.0 International License", f"the Creative Commons Attribution{long} 4.0 International License")),
+)
+OPENINGS = ("Licensed under", "Released under", "This work is licensed under", "This project is licensed under", "This software is licensed under")
+_GNU = ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0")
+SPDX = (*dict.fromkeys(k for k, _ in NAMES if k not in _GNU), "0BSD", *(k + end for k in _GNU for end in ("", "-only", "-or-later")))
+
+
+def _public_texts() -> list[tuple[str, str]]:
+    """The whole texts of licence_texts: as they are, without the appendix, and without the line that a copyright notice fills."""
+    out = []
+    for path in sorted((Path(__file__).parent / "licence_texts").glob("*.txt")):
+        text, end = path.read_text("utf-8"), "END OF TERMS AND CONDITIONS"
+        forms = [text, text[: text.index(end) + len(end)]] if end in text else [text]
+        forms += [text.replace("   Copyright [yyyy] [name of copyright owner]\n", "")]
+        out += [(path.stem, t) for t in dict.fromkeys(forms)]
+    return out
+
+
 #: Known texts. Public licence texts and their usual one-line notices.
 KNOWN = (
     ("MIT", _GRANT_MIT), ("MIT", "MIT License\n" + _GRANT_MIT), ("MIT", "The MIT License (MIT)\n" + _GRANT_MIT),
@@ -58,6 +86,7 @@ KNOWN = (
     ("GPL-3.0", "Licensed under the GNU General Public License, version 3."), ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0"), ("GPL-3.0-only", "SPDX-License-Identifier: GPL-3.0-only"),
     ("GPL-3.0-or-later", "SPDX-License-Identifier: GPL-3.0-or-later"), ("BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"), ("CC0-1.0", "SPDX-License-Identifier: CC0-1.0"),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."), ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    *((k, f"{opening} {name}.") for k, name in NAMES for opening in OPENINGS), *((k, f"SPDX-License-Identifier: {k}") for k in SPDX), *_public_texts(),
 )
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
