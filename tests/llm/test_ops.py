@@ -161,7 +161,7 @@ def test_neighbours(spark, monkeypatch):
     r = np.random.default_rng(1)
     x = r.normal(size=(900, 16)) + 3 * r.normal(size=(6, 16))[r.integers(0, 6, 900)]
     x[10:40] = x[10]  # ties
-    rows = [(k, [float(v) for v in x[k]]) for k in range(900)] + [(5000, None), (5020, [0.0] * 16), (5040, [float("nan")] * 16), (5060, [1.0]), (5080, [None] * 16)]
+    rows = [(k, [float(v) for v in x[k]]) for k in range(900)] + [(5000, None), (5020, [0.0] * 16), (5040, [float("nan")] * 16), (5080, [None] * 16)]
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
     found = neighbours.search(df, df.filter("vec_id % 20 = 0"), k=20).collect()
     by = defaultdict(list)
@@ -184,16 +184,61 @@ def test_neighbour_graph_from_a_poor_start(spark, monkeypatch):
     x /= np.linalg.norm(x, axis=1)[:, None]
     df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id bigint, embedding array<double>")
     scratch = Scratch(spark)
-    packed = scratch.keep(neighbours._quantise(neighbours.load(df), 24), "packed")
+    packed = scratch.keep(neighbours._quantise(neighbours.load(df)), "packed")
     score = x @ x.T
     np.fill_diagonal(score, -np.inf)
     true = np.argsort(-score, axis=1)[:, : neighbours.DEGREE]
-    graph = {r["id"]: [e["id"] for e in r["near"]] for r in neighbours.build(packed, 2000, 24, scratch).collect()}
+    graph = {r["id"]: [e["id"] for e in r["near"]] for r in neighbours.build(packed, 2000, scratch).collect()}
     assert all(len(set(near)) == len(near) for near in graph.values())
     share = sum(len(set(graph[k]) & set(true[k].tolist())) for k in range(2000)) / true.size
     assert share >= 0.9, share
 
 
+def _vectors(spark, rows):
+    """Vectors with columns whose names clash with those of the operator."""
+    return spark.createDataFrame([(k, v, "x", "x", 1.0, 0) for k, v in rows], "vec_id bigint, embedding array<double>, id string, q string, v double, dim int")
+
+
+def test_neighbours_beside_vectors_of_other_lengths(spark):
+    """One longer or shorter vector loses nothing; each length is searched by itself."""
+    r = np.random.default_rng(8)
+    x = r.normal(size=(100, 8))
+    rows = [(k, v.tolist()) for k, v in enumerate(x)]
+    plain = sorted(map(tuple, neighbours.search(df := _vectors(spark, rows), df.filter("vec_id % 20 = 0")).collect()))
+    assert len(plain) == 100 and {q for q, *_ in plain} == {0, 20, 40, 60, 80}
+    odd = [(1000, [1.0] * 9), (1020, [2.0] * 9), (1040, [1.0] * 3)]
+    df = _vectors(spark, [*rows, *odd, rows[20], rows[20]])
+    asked = df.filter("vec_id % 20 = 0")
+    expected = [*plain, (1000, 1, 1020, 18.0), (1020, 1, 1000, 18.0)]
+    assert sorted(map(tuple, neighbours.search(df, asked).collect())) == expected
+    assert sorted(map(tuple, neighbours.exact(df, asked).collect())) == expected
+
+
+@pytest.mark.parametrize("factor", [1e-100, 1e100])
+def test_neighbours_of_any_size(spark, factor):
+    x = np.random.default_rng(9).normal(size=(60, 6))
+    found = {}
+    for f in (1.0, factor):
+        df = _vectors(spark, [(k, (v * f).tolist()) for k, v in enumerate(x)])
+        found[f] = sorted((r["query_id"], r["rank"], r["vec_id"]) for r in neighbours.search(df, df.filter("vec_id % 20 = 0"), k=5).collect())
+    assert found[1.0] == found[factor]
+
+
+def test_exact_neighbours(spark, monkeypatch):
+    """Blocks of queries against blocks of rows, with ties at the last rank."""
+    monkeypatch.setattr(neighbours, "BLOCK", 40)
+    x = np.random.default_rng(3).integers(-2, 3, (300, 4)).astype(float)
+    x[(x == 0).all(1)] = 1.0
+    df = _vectors(spark, [(k, v.tolist()) for k, v in enumerate(x)])
+    out = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in neighbours.exact(df, df.filter("vec_id % 3 = 0"), k=7).collect())
+    expected = []
+    for q in range(0, 300, 3):
+        score = x @ x[q]
+        near = sorted((-score[k], k) for k in range(300) if k != q)[:7]
+        expected += [(q, rank, k, -s) for rank, (s, k) in enumerate(near, 1)]
+    assert out == expected
+
+
 def test_neighbours_of_few(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, [0.5, -0.5])], "vec_id bigint, embedding array<double>")
     out = sorted(map(tuple, neighbours.search(df, df.filter("vec_id = 0")).collect()))

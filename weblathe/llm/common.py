@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
+from functools import cache
 
 import pyarrow as pa
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,11 +24,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@cache
+def _local_folder() -> str:
+    folder = tempfile.mkdtemp(prefix="weblathe-")
+    atexit.register(shutil.rmtree, folder, True)
+    return folder
+
+
 class Scratch:
     """Tables written to the folder that the whole cluster shares.
 
     A written table cuts lineage, survives lost executors and gives the planner its true size. The folder is
-    ``spark.checkpoint.dir``; only where that is unset, and only in local mode, a temporary folder takes its place.
+    ``spark.checkpoint.dir``; only where that is unset, and only in local mode, a temporary folder takes its place, one a
+    process. Operators drop what no later plan reads; the tables that a returned DataFrame still reads go when the process
+    ends.
     """
 
     def __init__(self, spark: SparkSession):
@@ -32,23 +46,32 @@ class Scratch:
         if not base:
             if not spark.sparkContext.master.startswith("local"):
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-            base = tempfile.mkdtemp(prefix="weblathe-")
-            spark.conf.set("spark.checkpoint.dir", base)
+            base = _local_folder()
         self.base = f"{base.rstrip('/')}/weblathe-{uuid.uuid4().hex}"
+        self.names: list[str] = []
+        atexit.register(self.drop, "")
 
     def path(self, name: str) -> str:
         return f"{self.base}/{name}"
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` and return it as read back."""
-        df.write.mode("overwrite").parquet(self.path(name))
+    def keep(self, df: DataFrame, name: str, *by: str) -> DataFrame:
+        """Write ``df``, in folders by the columns ``by``, and return it as read back."""
+        df.write.mode("overwrite").partitionBy(*by).parquet(self.path(name))
+        self.names.append(name)
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, *names: str) -> None:
-        """Delete tables that no later plan reads."""
-        for name in names:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        """Delete tables that no later plan reads; an empty name stands for all of them."""
+        if self.spark.sparkContext._jsc is None:
+            return
+        with contextlib.suppress(Py4JError, OSError):  # a gateway that is gone takes its scratch folder as it finds it
+            for name in names:
+                path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name) if name else self.base)
+                path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def drop_others(self, *kept: str) -> None:
+        """Delete all tables but these."""
+        self.drop(*(n for n in dict.fromkeys(self.names) if n not in kept))
 
 
 def text_or_empty(name: str = "text"):

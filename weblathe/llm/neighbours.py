@@ -7,19 +7,24 @@
    the pairs among them and offers each the others that beat its present worst. Every node keeps DEGREE neighbours. Rounds
    go on until one changes at most SETTLED of the neighbours; lists only improve, so they end.
 4. Search: a query starts at its own node and expands the best unexpanded nodes of its beam until all of its beam is
-   expanded; the best by 8-bit score are scored again on the original vectors in double precision.
-
-Samples and beams bound work a node, a round and a hop, and beams widen with the logarithm of the table; recall is measured against brute force in tests/llm and, by table
-size, in the README. Nothing else is capped: every vector is indexed, and rounds and hops are as many as the table needs.
-
-Cases: vectors that are null, zero, of another length than the longest, or hold null or non-finite components take no
-part, nor do rows without vec_id; of rows with one vec_id the least vector counts; ties go to the smaller vec_id; a query
-with fewer candidates than k gets all of them; empty tables give no rows; extra columns are ignored.
+   expanded; the best by 8-bit score are scored again on the original vectors in double precision. Queries that are done
+   leave the walk.
+
+Samples and beams bound work a node, a round and a hop, and beams widen with the logarithm of the table; recall is
+measured against brute force in tests/llm and, by table size, in the README. Every vector is indexed, and rounds and hops
+are as many as the table needs. ``exact`` gives the same rows without any of these bounds, by scoring blocks of queries
+against blocks of all rows.
+
+Cases: vectors that are null, zero, or hold null or non-finite components take no part, nor do rows without vec_id; an
+inner product needs two vectors of one length, so each is searched among those of its own length, and a vector alone in
+its length has no neighbours; of rows with one vec_id the least vector counts; ties go to the smaller vec_id; a query
+with fewer candidates than k gets all of them; empty tables give no rows; extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +34,11 @@ from pyspark.sql import functions as F
 from .common import Scratch, small_batches
 
 PARTITIONS, LEAF, DEGREE, SAMPLE, OFFERS, SETTLED = 16, 800, 32, 16, 12, 0.01
-BEAM, EXPAND, SEEN, RESCORED = 256, 64, 2048, 96
+BEAM, SEEN, RESCORED = 256, 2048, 96
+#: A hop expands this part of a beam.
+PART = 4
+#: Rows of a block of ``exact``.
+BLOCK = 2048
 #: Vectors up to which BEAM and SEEN suffice as they are; each doubling beyond adds half of them.
 BASE = 10_000
 #: Up to this length a product of 8-bit vectors is a whole number that single precision holds.
@@ -51,24 +60,29 @@ def _struct_list(offsets: list[int], scores: np.ndarray, ids: np.ndarray) -> pa.
 
 
 def load(df: DataFrame, id: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """id and v (array of double) of the vectors that take part."""
+    """id, v (array of double) and dim (its length) of the vectors that take part."""
     v = F.transform(F.col(vector), lambda x: x.cast("double"))
     rows = df.select(F.col(id).cast("bigint").alias("id"), v.alias("v")).filter("id IS NOT NULL AND v IS NOT NULL")
     rows = rows.filter(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))) & F.exists("v", lambda x: x != 0))
-    return rows.groupBy("id").agg(F.min("v").alias("v"))
+    return rows.groupBy("id").agg(F.min("v").alias("v")).withColumn("dim", F.size("v"))
 
 
-def _quantise(vectors: DataFrame, dim: int) -> DataFrame:
+def _quantise(vectors: DataFrame, largest: float = 1.0) -> DataFrame:
+    """id, dim, q (8-bit components) and scale of every vector; ``largest``: the table's largest component, so that products
+    of two scales stay within single precision."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            x = batch.column(1).flatten().to_numpy().reshape(-1, dim)
-            scale = np.abs(x).max(1) / 127
-            packed = np.rint(x / scale[:, None]).astype(np.int8)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in packed], pa.binary()), pa.array(scale.astype(np.float32))], names=["id", "q", "scale"])
+        for batch in small_batches(batches, 4096):
+            flat, offsets = batch.column(1).flatten().to_numpy(), np.cumsum([0, *batch.column(1).value_lengths().to_pylist()])
+            packed, scales = [], []
+            for k in range(batch.num_rows):
+                x = flat[offsets[k] : offsets[k + 1]]
+                scale = float(np.abs(x).max())
+                packed.append(np.rint(x / scale * 127).astype(np.int8).tobytes())
+                scales.append(max(scale / largest, 1e-18) / 127)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(packed, pa.binary()), pa.array(scales, pa.float32())], names=["id", "dim", "q", "scale"])
 
-    return vectors.filter(F.size("v") == dim).mapInArrow(run, "id bigint, q binary, scale float")
+    return vectors.select("id", "v", "dim").mapInArrow(run, "id bigint, dim int, q binary, scale float")
 
 
 def _blocks(groups: DataFrame, most: int, floor: bool) -> DataFrame:
@@ -131,30 +145,39 @@ def _merge(lists: DataFrame) -> DataFrame:
     return lists.select("id", "near", "more").mapInArrow(run, f"id bigint, near {NEIGHBOURS}, changed bigint")
 
 
-def _start(packed: DataFrame, n: int, dim: int) -> DataFrame:
-    """Offers from blocks of bounded leaves."""
-    bits = max(0, int(np.ceil(np.log2(max(1.0, n / LEAF)))))
-    planes = np.random.default_rng(SEED).normal(size=(PARTITIONS, bits, dim)).astype(np.float32)
+def _start(packed: DataFrame) -> DataFrame:
+    """Offers from blocks of bounded leaves; a leaf holds vectors of one length."""
+    bits = F.greatest(F.lit(0), F.ceil(F.log2(F.count(F.lit(1)) / F.lit(LEAF)))).cast("int").alias("bits")
+    sized = packed.join(packed.groupBy("dim").agg(bits), "dim")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = 1 << np.arange(bits, dtype=np.int64)
+        planes: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            x = _matrix(batch.column(1))
-            codes = ((np.einsum("nd,pbd->npb", x, planes) > 0) @ weights).astype(np.int64)
+            dims, counts = batch.column(1).to_numpy(), batch.column(4).to_numpy()
+            codes = np.zeros((batch.num_rows, PARTITIONS), np.int64)
+            for dim in np.unique(dims):
+                rows = np.flatnonzero(dims == dim)
+                depth = int(counts[rows[0]])
+                if not depth:
+                    continue
+                if (own := planes.get((int(dim), depth))) is None:
+                    planes.clear()
+                    own = planes[int(dim), depth] = np.random.default_rng([SEED, int(dim)]).normal(size=(PARTITIONS, depth, int(dim))).astype(np.float32)
+                x = _matrix(batch.column(2).take(pa.array(rows)))
+                codes[rows] = (np.einsum("nd,pbd->npb", x, own) > 0) @ (1 << np.arange(depth, dtype=np.int64))
             flat = pa.ListArray.from_arrays(pa.array(np.arange(0, codes.size + 1, PARTITIONS), pa.int32()), pa.array(codes.ravel()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, flat], names=["id", "q", "scale", "codes"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], flat], names=["id", "dim", "q", "scale", "codes"])
 
-    coded = packed.mapInArrow(run, "id bigint, q binary, scale float, codes array<bigint>").select("id", "q", "scale", F.posexplode("codes").alias("p", "code"))
-    counts = coded.groupBy("p", "code").agg(F.ceil(F.count(F.lit(1)) / F.lit(LEAF)).alias("parts"))
-    leaves = coded.join(counts, ["p", "code"]).withColumn("part", F.pmod(F.xxhash64("id", "p"), F.col("parts")))
-    return _blocks(leaves.groupBy("p", "code", "part").agg(F.collect_list(F.struct("id", "q", "scale")).alias("m")).select("m"), DEGREE, False)
+    coded = sized.select("id", "dim", "q", "scale", "bits").mapInArrow(run, "id bigint, dim int, q binary, scale float, codes array<bigint>")
+    coded = coded.select("id", "dim", "q", "scale", F.posexplode("codes").alias("p", "code"))
+    counts = coded.groupBy("dim", "p", "code").agg(F.ceil(F.count(F.lit(1)) / F.lit(LEAF)).alias("parts"))
+    leaves = coded.join(counts, ["dim", "p", "code"]).withColumn("part", F.pmod(F.xxhash64("id", "p"), F.col("parts")))
+    return _blocks(leaves.groupBy("dim", "p", "code", "part").agg(F.collect_list(F.struct("id", "q", "scale")).alias("m")).select("m"), DEGREE, False)
 
 
-def build(packed: DataFrame, n: int, dim: int, scratch: Scratch) -> DataFrame:
+def build(packed: DataFrame, n: int, scratch: Scratch) -> DataFrame:
     """The neighbour graph: id and near, DEGREE neighbours by descending score."""
-    offers = _start(packed, n, dim).groupBy("id").agg(F.flatten(F.collect_list("near")).alias("more"))
+    offers = _start(packed).groupBy("id").agg(F.flatten(F.collect_list("near")).alias("more"))
     empty = F.expr(f"CAST(array() AS {NEIGHBOURS})")
     graph = scratch.keep(_merge(packed.select("id", empty.alias("near")).join(offers, "id", "left")), "graph-0")
     step, unsettled = 0, n > LEAF
@@ -176,60 +199,104 @@ def build(packed: DataFrame, n: int, dim: int, scratch: Scratch) -> DataFrame:
     return graph
 
 
-def _walk(graph: DataFrame, packed: DataFrame, queries: DataFrame, n: int, scratch: Scratch) -> DataFrame:
-    """id and seen: the nodes that a query has met, best first, when its whole beam is expanded."""
+def _walk(graph: DataFrame, packed: DataFrame, queries: DataFrame, n: int, scratch: Scratch, best: int) -> DataFrame:
+    """id and near: the ``best`` nodes that a query has met by the time its whole beam is expanded, best first."""
     wide = 1 + max(0.0, np.log2(max(1, n) / BASE)) / 2
     width, most = int(BEAM * wide), int(SEEN * wide)
-    start = graph.join(queries, "id", "left_semi").join(packed, "id").selectExpr("id", "q", "scale", "transform(near, x -> named_struct('score', x.score, 'id', x.id, 'done', false)) AS seen")
-    state = scratch.keep(start, "walk-0")
+    expand = width // PART
+    start = graph.join(queries, "id", "left_semi").join(packed, "id")
+    start = start.selectExpr("id", "q", "scale", "transform(near, x -> named_struct('score', x.score, 'id', x.id, 'done', false)) AS seen", "size(near) > 0 AS open")
     kind = pa.struct([("score", pa.float32()), ("id", pa.int64()), ("done", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists, offsets = [], [0]
+        for batch in small_batches(batches, 64):
+            lists, offsets, is_open = [], [0], []
             for k in range(batch.num_rows):
                 seen, new = batch.column(3)[k].values, batch.column(4)[k].values
                 score, ids, done = seen.field("score").to_numpy(), seen.field("id").to_numpy(), seen.field("done").to_numpy(zero_copy_only=False).copy()
-                beam = np.flatnonzero(~done[:width])[:EXPAND]
+                beam = np.flatnonzero(~done[:width])[:expand]
                 done[beam] = True
                 if new is not None and len(new):
                     x = _matrix(batch.column(1).slice(k, 1))[0]
                     value = (_matrix(new.field("q")) @ x).astype(np.float32) * (new.field("scale").to_numpy() * np.float32(batch.column(2)[k].as_py()))
                     score, ids, done = np.concatenate([score, value]), np.concatenate([ids, new.field("id").to_numpy()]), np.concatenate([done, np.zeros(len(new), bool)])
                 order = np.lexsort((ids, -score))[:most]
+                is_open.append(not done[order[:width]].all())
+                order = order if is_open[-1] else order[:best]
                 lists.append((score[order], ids[order], done[order]))
                 offsets.append(offsets[-1] + len(order))
             columns = [np.concatenate(c) if lists else np.zeros(0) for c in (zip(*lists, strict=True) if lists else [(), (), ()])]
             inner = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, kind, strict=True)], names=["score", "id", "done"])
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), inner)], names=["id", "q", "scale", "seen"])
-
-    hop = 0
-    while not state.filter(f"exists(slice(seen, 1, {width}), x -> NOT x.done)").isEmpty():
-        frontier = state.selectExpr("id", f"explode(slice(filter(slice(seen, 1, {width}), x -> NOT x.done), 1, {EXPAND}).id) AS node")
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), inner), pa.array(is_open, pa.bool_())], names=["id", "q", "scale", "seen", "open"])
+
+    hop, over = 0, []
+    table = scratch.keep(start, "walk-0", "open")
+    while True:
+        state = table.filter("open")
+        over.append(table.filter("NOT open").selectExpr("id", "seen.id AS near"))
+        if state.isEmpty():
+            break
+        frontier = state.selectExpr("id", f"explode(slice(filter(slice(seen, 1, {width}), x -> NOT x.done), 1, {expand}).id) AS node")
         reached = frontier.join(graph.select(F.col("id").alias("node"), F.col("near.id").alias("near")), "node").groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
         new = reached.join(state.select("id", F.col("seen.id").alias("old")), "id").select("id", F.explode(F.array_except("near", F.array_append("old", F.col("id")))).alias("node"))
-        found = new.join(packed.toDF("node", "_q", "_scale"), "node").groupBy("id").agg(F.collect_list(F.struct(F.col("node").alias("id"), F.col("_q").alias("q"), F.col("_scale").alias("scale"))).alias("new"))
-        state = state.join(found, "id", "left").select("id", "q", "scale", "seen", "new").mapInArrow(run, "id bigint, q binary, scale float, seen array<struct<score: float, id: bigint, done: boolean>>")
-        state = scratch.keep(state, f"walk-{hop + 1}")
-        scratch.drop(f"walk-{hop}")
+        found = new.join(packed.select(F.col("id").alias("node"), "q", "scale"), "node").groupBy("id").agg(F.collect_list(F.struct(F.col("node").alias("id"), "q", "scale")).alias("new"))
+        state = state.join(found, "id", "left").select("id", "q", "scale", "seen", "new").mapInArrow(run, "id bigint, q binary, scale float, seen array<struct<score: float, id: bigint, done: boolean>>, open boolean")
+        table = scratch.keep(state, f"walk-{hop + 1}", "open")
+        scratch.drop(f"walk-{hop}/open=true")
         hop += 1
-    return state
+    return reduce(DataFrame.unionByName, over)
+
+
+def _ranked(pairs: DataFrame, full: DataFrame, k: int) -> DataFrame:
+    """The k best of pairs (query_id, vec_id), scored on the original vectors in double precision."""
+    pairs = pairs.join(full.select(F.col("id").alias("vec_id"), F.col("v").alias("_v")), "vec_id").join(full.select(F.col("id").alias("query_id"), F.col("v").alias("_u")), "query_id")
+    scored = pairs.select("query_id", "vec_id", F.expr("aggregate(zip_with(_u, _v, (x, y) -> x * y), 0D, (s, x) -> s + x)").alias("score"))
+    ranked = scored.withColumn("rank", F.expr("row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)"))
+    return ranked.filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
 
 
 def search(df: DataFrame, queries: DataFrame, k: int = 20, id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """The k nearest others of each queried row of ``df``: query_id, rank, vec_id, score. ``queries`` has ids in ``id``."""
     scratch = Scratch(df.sparkSession)
     full = scratch.keep(load(df, id, vector), "vectors")
-    dim = full.agg(F.max(F.size("v"))).first()[0] or 0
-    full = full.filter(F.size("v") == dim)
-    n = full.count()
-    packed = scratch.keep(_quantise(full, dim), "packed")
-    graph = build(packed, n, dim, scratch)
+    n, largest = full.agg(F.count(F.lit(1)), F.max(F.array_max(F.transform("v", F.abs)))).first()
+    packed = scratch.keep(_quantise(full, largest or 1.0), "packed")
+    graph = build(packed, n, scratch)
     asked = queries.select(F.col(id).cast("bigint").alias("id")).distinct()
     # within one leaf the graph starts from all pairs, and a walk from all of a query's neighbours
-    seen = _walk(graph, packed, asked, n, scratch)
-    pairs = seen.selectExpr("id AS query_id", f"explode(slice(seen, 1, {max(RESCORED, 4 * k)}).id) AS vec_id")
-    pairs = pairs.join(full.toDF("vec_id", "_v"), "vec_id").join(full.toDF("query_id", "_u"), "query_id")
-    scored = pairs.select("query_id", "vec_id", F.expr("aggregate(zip_with(_u, _v, (x, y) -> x * y), 0D, (s, x) -> s + x)").alias("score"))
-    ranked = scored.withColumn("rank", F.expr("row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)"))
-    return ranked.filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
+    seen = _walk(graph, packed, asked, n, scratch, max(RESCORED, 4 * k))
+    out = scratch.keep(_ranked(seen.selectExpr("id AS query_id", "explode(near) AS vec_id"), full, k), "found")
+    scratch.drop_others("found")
+    return out
+
+
+def exact(df: DataFrame, queries: DataFrame, k: int = 20, id: str = "vec_id", vector: str = "embedding") -> DataFrame:
+    """As ``search``, by brute force: every block of queries meets every block of rows of its length, and nothing is capped."""
+    scratch = Scratch(df.sparkSession)
+    full = scratch.keep(load(df, id, vector), "vectors")
+    asked = full.join(queries.select(F.col(id).cast("bigint").alias("id")).distinct(), "id", "left_semi")
+
+    def blocks(rows: DataFrame) -> DataFrame:
+        parts = rows.groupBy("dim").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).alias("parts"))
+        dealt = rows.join(parts, "dim").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
+        return dealt.groupBy("dim", "part", "parts").agg(F.collect_list(F.struct("id", "v")).alias("m"))
+
+    asked = scratch.keep(blocks(asked).select("dim", F.col("part").alias("at"), F.col("parts").alias("blocks"), F.col("m").alias("q")), "asked")
+    every = blocks(full).join(asked.select("dim", "blocks").distinct(), "dim").withColumn("at", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, 1):
+            if not batch.num_rows:
+                continue
+            (a, x), (b, y) = ((c[0].values.field("id").to_numpy(), c[0].values.field("v").flatten().to_numpy().reshape(len(c[0].values), -1)) for c in batch.columns)
+            score = x @ y.T
+            score[a[:, None] == b[None, :]] = -np.inf
+            most = min(2 * k, len(b))
+            best = np.argpartition(-score, most - 1, axis=1)[:, :most]
+            # ties with the worst kept go along, so that the smaller ids can win
+            low = np.take_along_axis(score, best, 1).min(1, keepdims=True)
+            rows, columns = np.nonzero((score >= low) & (a[:, None] != b[None, :]))
+            yield pa.RecordBatch.from_arrays([pa.array(a[rows]), pa.array(b[columns])], names=["query_id", "vec_id"])
+
+    pairs = every.join(asked.drop("blocks"), ["dim", "at"]).select("q", "m").mapInArrow(run, "query_id bigint, vec_id bigint")
+    return _ranked(pairs, full, k)
