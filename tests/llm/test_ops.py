@@ -91,6 +91,26 @@ def test_sketches_estimate_similarity():
     assert (np.maximum(left, right)[0] == neardup.registers(np.union1d(a, b)).view("<u2")).all()
 
 
+def test_near_duplicates_of_repeated_ids(spark):
+    """Rows are documents, whatever ids they share."""
+    a, b, c, d = ("".join(f"{x}{k} " for k in range(30)) for x in "abcd")
+    rows = [(3, a), (7, a), (7, b), (9, c), (9, c), (3, d), (5, d + "more"), (11, None), (11, None), (None, a), (None, a)]
+    out = sorted(map(str, map(tuple, neardup.group(documents(spark, rows)).collect())))
+    expected = [(3, 26, 3, True), (7, 26, 3, False), (7, 26, 7, True), (9, 26, 9, True), (9, 26, 9, True), (3, 26, 3, True), (5, 27, 3, False), (11, 0, 11, True), (11, 0, 11, True), (None, 26, None, True), (None, 26, None, True)]
+    assert out == sorted(map(str, expected))
+    kept = sorted((str(r["doc_id"]), r["text"]) for r in neardup.drop_copies(documents(spark, rows)).collect())
+    assert kept == sorted([("3", a), ("7", b), ("9", c), ("3", d), ("11", None), ("11", None), ("None", a), ("None", a)])
+    assert neardup.drop_copies(documents(spark, rows).limit(0)).count() == 0
+
+
+def test_hot_buckets_leave_no_link(spark, monkeypatch):
+    """Chains across a bucket: every text is like its neighbours only, so centres link few of them."""
+    monkeypatch.setattr(neardup, "CHUNK", 10)
+    monkeypatch.setattr(neardup, "NEAREST", 1)
+    words = [f"w{k}" for k in range(400)]
+    _check_groups(spark, [(k, " ".join(words[4 * k % 200 : 4 * k % 200 + 100 + k // 50])) for k in range(150)])
+
+
 def test_drop_copies_keeps_columns(spark):
     rows = [(5, "a b c d e f g"), (3, "a b c d e f g"), (7, "other words here"), (8, None), (9, None)]
     out = neardup.drop_copies(documents(spark, rows))

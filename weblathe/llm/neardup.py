@@ -4,22 +4,26 @@
    x the least of exponentially spaced hash values over the set. Registers of a union are the maxima of the registers, so
    sketches merge; for b near 1 two registers agree with about the Jaccard similarity. Four 16-bit registers pack into one
    BIGINT, which is one band.
-2. Equal sets (128 bits of set digest) collapse into one representative, so exact copies cost one row each.
+2. Equal sets (128 bits of set digest) collapse into one node with the smallest doc_id that has it, so exact copies cost
+   one row each.
 3. Candidates share a band. No bucket is expanded into all its pairs: first its members meet one centre, confirmed links
-   are contracted into components, members of other components meet another centre, and last only pairs *across*
-   components remain. Buckets of up to SMALL members list these; larger ones are dealt out in blocks of bounded size, in
-   which pairs are estimated and confirmed in place, so only links leave them. No link between different texts can get
-   lost on the way, as pairs within a component add nothing to it.
+   are contracted into components, members of other components meet another centre. Then buckets that still span
+   components are dealt out in blocks of bounded size, which hold sketches and no sets: pairs across components are
+   estimated in place, and first the NEAREST likely partners of each member leave a block, then, after another
+   contraction, all likely pairs that are left across components. No link between different texts can get lost on the
+   way, as pairs within a component add nothing to it.
 4. A candidate pair is estimated by maximum likelihood from both sketches and set sizes; pairs far below the threshold go.
    The rest is confirmed on the full sets.
 5. Components come from contraction by random priorities, a few rounds in expectation whatever the shape.
 
 At the threshold of 0.75, four registers a band and 32 bands, a linked pair misses every band with probability
-(1 - 0.75**4) ** 32 < 6e-6, and fewer still for closer pairs.
+(1 - 0.75**4) ** 32 < 6e-6, and fewer still for closer pairs. Likelihood drops a pair whose ratio exceeds e**14; for a pair
+at the threshold that has the chance of a normal value beyond sqrt(28) = 5.3 deviations, about 6e-8.
 
-Cases: no words gives an empty set, linked with nothing; fewer words than a shingle make one shingle of all; rows that
-repeat a doc_id are one document; a row without doc_id is linked with nothing and its component is null; empty tables give
-no rows; extra columns are ignored.
+Cases: a document is a row. No words gives an empty set, linked with nothing; fewer words than a shingle make one shingle
+of all; rows that repeat doc_id and text get equal results in ``group``, and ``drop_copies`` leaves one of them; rows that
+share a doc_id but no text are documents of their own; a row without doc_id is linked with nothing and its component is
+null; empty tables give no rows; ``group`` ignores extra columns, ``drop_copies`` hands them through, whatever their names.
 """
 
 from __future__ import annotations
@@ -44,9 +48,12 @@ SCALE = _random.integers(0, 1 << 63, REGISTERS, dtype=np.uint64) * np.uint64(2)
 SHIFT = _random.integers(0, 1 << 63, REGISTERS, dtype=np.uint64) * np.uint64(2)
 PLACE = _random.integers(0, 1 << 63, WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 BLOCK = 2048
-#: Buckets up to this size list their pairs across components; blocks of larger ones hold two chunks of about CHUNK members.
-SMALL, CHUNK = 16, 512
-SLACK = 14.0
+#: Blocks hold two chunks of about CHUNK members; so many partners of a member leave a block before the next contraction.
+CHUNK, NEAREST = 512, 8
+#: A bucket's rows are dealt over so many tasks.
+SALTS = 16
+#: Log likelihood ratio beyond which a pair goes. Pairs with at most FEW equal registers are beyond it in any case.
+SLACK, FEW = 14.0, 48
 CACHED = 150_000
 
 
@@ -122,6 +129,11 @@ def similarity(left: np.ndarray, right: np.ndarray, n_left: np.ndarray, n_right:
     return best, likelihood(best) - likelihood(np.minimum(at, most))
 
 
+def set_digest(values: np.ndarray) -> tuple[int, int]:
+    """128 bits that stand for a set."""
+    return int(mix(values ^ SCALE[0]).sum(dtype=np.uint64).astype(np.int64)), int(np.bitwise_xor.reduce(mix(values ^ SCALE[1]), initial=np.uint64(0)).astype(np.int64))
+
+
 def sketch(df: DataFrame) -> DataFrame:
     """doc_id, n (set size), set_a, set_b (digest of the set) and bands (packed registers) of every row."""
 
@@ -131,8 +143,9 @@ def sketch(df: DataFrame) -> DataFrame:
             for text in batch.column(1).to_pylist():
                 values = shingles(text)
                 n.append(len(values))
-                a.append(int(mix(values ^ SCALE[0]).sum(dtype=np.uint64).astype(np.int64)))
-                b.append(int(np.bitwise_xor.reduce(mix(values ^ SCALE[1]), initial=np.uint64(0)).astype(np.int64)))
+                x, y = set_digest(values)
+                a.append(x)
+                b.append(y)
                 bands.append(registers(values).tolist() if len(values) else None)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "n", "set_a", "set_b", "bands"])
 
@@ -140,16 +153,17 @@ def sketch(df: DataFrame) -> DataFrame:
 
 
 def full_sets(df: DataFrame) -> DataFrame:
-    """rep and values (the whole shingle set) of every row."""
+    """doc_id, set_a, set_b and values (the whole shingle set) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, 64):
-            sets = [shingles(t).view(np.int64) for t in batch.column(1).to_pylist()]
+            sets = [shingles(t) for t in batch.column(1).to_pylist()]
+            digests = [set_digest(v) for v in sets]
             offsets = np.cumsum([0, *map(len, sets)]).astype(np.int32)
-            values = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), values], names=["rep", "values"])
+            values = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int64), *(v.view(np.int64) for v in sets)])))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x for x, _ in digests], pa.int64()), pa.array([y for _, y in digests], pa.int64()), values], names=["doc_id", "set_a", "set_b", "values"])
 
-    return df.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(run, "rep bigint, values array<bigint>")
+    return df.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(run, "doc_id bigint, set_a bigint, set_b bigint, values array<bigint>")
 
 
 def likely(pairs: DataFrame, sketches: DataFrame, at: float, slack: float = SLACK) -> DataFrame:
@@ -176,58 +190,51 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(F.lit(100) * F.col("_shared") >= F.lit(percent) * (F.col("_sum") - F.col("_shared"))).select("a", "b")
 
 
-def block_links(rep: np.ndarray, root: np.ndarray, side: np.ndarray, sketch: np.ndarray, sets: list[np.ndarray], band: int, both: bool, percent: int) -> list[tuple[int, int]]:
-    """Links across components within one block, confirmed on full sets.
+def block_pairs(rep: np.ndarray, root: np.ndarray, side: np.ndarray, n: np.ndarray, sketch: np.ndarray, band: int, both: bool, percent: int, most: int | None) -> list[tuple[int, int]]:
+    """Pairs across components within one block that may be links: the ``most`` likeliest of each member, or all.
 
     ``both``: the block holds two chunks, and only pairs between its sides count. Pairs that share an earlier band belong
-    to that band's block. Confirmed links merge components at once, so pairs within one are not looked at again.
+    to that band's block.
     """
     packed = np.ascontiguousarray(sketch.astype("<u2")).view("<i8")
-    n, at = np.array(list(map(len, sets)), float), percent / 100
-    to: dict[int, int] = {}
-
-    def find(x: int) -> int:
-        while (y := to.get(x, x)) != x:
-            x = y
-        return x
-
-    found = []
+    pairs: list[tuple[float, int, int]] = []
     for k in range(len(rep) - 1):
         others = np.arange(k + 1, len(rep))
         ok = (root[others] != root[k]) & (100 * np.minimum(n[others], n[k]) >= percent * np.maximum(n[others], n[k]))
         if both:
             ok &= side[others] != side[k]
         others = others[ok]
+        others = others[(sketch[others] == sketch[k]).sum(1) > FEW]
         others = others[~(packed[others, :band] == packed[k, :band]).any(1)]
         if not len(others):
             continue
-        best, below = similarity(np.broadcast_to(sketch[k], (len(others), REGISTERS)), sketch[others], np.full(len(others), n[k]), n[others], at)
-        maybe = np.flatnonzero((best >= at) | (below <= SLACK))
-        for j in others[maybe[np.argsort(-best[maybe])]]:
-            a, b = find(int(root[k])), find(int(root[j]))
-            if a == b:
-                continue
-            shared = len(np.intersect1d(sets[k], sets[j], assume_unique=True))
-            if 100 * shared >= percent * (len(sets[k]) + len(sets[j]) - shared):
-                found.append((int(min(rep[k], rep[j])), int(max(rep[k], rep[j]))))
-                to[max(a, b)] = min(a, b)
-    return found
-
-
-def confirm_blocks(blocks: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) of blocks: band, low, high (chunk numbers) and m, a list of (rep, root, side, bands, values)."""
+        best, below = similarity(np.broadcast_to(sketch[k], (len(others), REGISTERS)), sketch[others], np.full(len(others), n[k]), n[others], percent / 100)
+        maybe = (best >= percent / 100) | (below <= SLACK)
+        pairs += zip((-best[maybe]).tolist(), [k] * int(maybe.sum()), others[maybe].tolist(), strict=True)
+    if most is not None:
+        taken, chosen = np.zeros(len(rep), int), []
+        for pair in sorted(pairs):
+            _, k, j = pair
+            if taken[k] < most or taken[j] < most:
+                chosen.append(pair)
+                taken[k] += 1
+                taken[j] += 1
+        pairs = chosen
+    return [(int(min(rep[k], rep[j])), int(max(rep[k], rep[j]))) for _, k, j in pairs]
+
+
+def likely_in_blocks(blocks: DataFrame, percent: int, most: int | None) -> DataFrame:
+    """Likely pairs (a, b) of blocks: band, low, high (chunk numbers) and m, a list of (rep, root, side, n, bands)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found: list[tuple[int, int]] = []
             for k in range(batch.num_rows):
                 m = batch.column(3)[k].values
-                rep, root, side = (m.field(f).to_numpy() for f in ("rep", "root", "side"))
+                rep, root, side, n = (m.field(f).to_numpy() for f in ("rep", "root", "side", "n"))
                 sketch = m.field("bands").flatten().to_numpy().view("<u2").reshape(-1, REGISTERS).astype(np.int32)
-                sets = [v.values.to_numpy() for v in m.field("values")]
                 order = np.argsort(rep)
-                found += block_links(rep[order], root[order], side[order], sketch[order], [sets[i] for i in order], batch.column(0)[k].as_py(), batch.column(1)[k] != batch.column(2)[k], percent)
-            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["a", "b"])
+                found = block_pairs(rep[order], root[order], side[order], n[order].astype(float), sketch[order], batch.column(0)[k].as_py(), batch.column(1)[k] != batch.column(2)[k], percent, most)
+                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["a", "b"])
 
     return blocks.select("band", "low", "high", "m").mapInArrow(run, "a bigint, b bigint")
 
@@ -252,28 +259,34 @@ def components(scratch: Scratch, edges: DataFrame, name: str) -> DataFrame:
         moved = moved.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         edges = scratch.keep(moved, f"{name}-edges-{step}")
         if step:
+            scratch.drop(f"{name}-edges-{step - 1}")
             old = labels.join(to.toDF("root", "to"), "root", "left").select("node", F.coalesce("to", "root").alias("root"))
             labels = scratch.keep(old, f"{name}-labels-{step}")
+            scratch.drop(f"{name}-labels-{step - 1}", f"{name}-to-{step}", f"{name}-to-{step - 1}")
         else:
             labels = to.toDF("node", "root")
         step += 1
     return labels
 
 
-def group(df: DataFrame, percent: int = 75) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for every row of ``df`` (doc_id, text)."""
-    spark, scratch, at = df.sparkSession, Scratch(df.sparkSession), percent / 100
+def _grouped(df: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """doc_id, n, set_a, set_b and component of every row of ``df``; nothing but tables of ``scratch`` is read."""
+    at = percent / 100
     sketches = scratch.keep(sketch(df), "sketches")
-    # of equal sets, the smallest doc_id stands for all
-    unique = sketches.filter("n > 0 AND doc_id IS NOT NULL").groupBy("n", "set_a", "set_b").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
-    unique = scratch.keep(unique, "unique")
+    # a node is a set; it has the smallest doc_id of its rows
+    unique = sketches.filter("n > 0 AND doc_id IS NOT NULL").groupBy("n", "set_a", "set_b").agg(F.min("doc_id").alias("first"), F.first("bands").alias("bands"))
+    # the numbers hold once they are written
+    unique = scratch.keep(unique.withColumn("rep", F.monotonically_increasing_id()), "unique")
     banded = unique.select("rep", "n", F.posexplode("bands").alias("band", "value"))
     buckets = banded.groupBy("band", "value").agg(F.min("rep").alias("centre"), F.max("rep").alias("last")).filter("centre <> last")
     members = scratch.keep(banded.join(buckets.drop("last"), ["band", "value"]), "members")
-    candidates = scratch.keep(members.select("rep").distinct(), "candidates")
-    own = df.select(F.col("doc_id").cast("bigint"), "text").join(candidates, F.col("doc_id") == F.col("rep"), "left_semi")
-    sets = scratch.keep(full_sets(own), "sets")
+    candidates = members.select("rep").distinct()
     sketched = scratch.keep(unique.join(candidates, "rep", "left_semi"), "candidate-sketches")
+    own = df.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text")).join(sketched.select(F.col("first").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    # rows that repeat a doc_id and a set are one set here, and rows of other sets find no node
+    sets = full_sets(own).groupBy("doc_id", "set_a", "set_b").agg(F.first("values").alias("values"))
+    sets = scratch.keep(sets.join(sketched.select(F.col("first").alias("doc_id"), "set_a", "set_b", "rep"), ["doc_id", "set_a", "set_b"]).select("rep", "values"), "sets")
+    sketched = sketched.select("rep", "n", "bands")
 
     def links(pairs: DataFrame, name: str) -> DataFrame:
         return scratch.keep(confirm(likely(pairs, sketched, at), sets, percent), name)
@@ -281,44 +294,89 @@ def group(df: DataFrame, percent: int = 75) -> DataFrame:
     # sets whose sizes differ more can't reach the threshold
     near = lambda x, y: (F.lit(100) * F.least(x, y) >= F.lit(percent) * F.greatest(x, y))
     ordered = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
-    edges = links(members.filter("rep <> centre").select(*ordered("rep", "centre")).distinct(), "links-0")
+    salt = F.pmod(F.xxhash64("rep"), F.lit(SALTS)).cast("int").alias("salt")
+    salted = lambda df: df.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    key = ["band", "value", "salt"]
+
+    def labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+        """Members of buckets with the component that each is in so far."""
+        return rows.select("band", "value", "rep", "n", salt).join(labels.toDF("rep", "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+
+    edges = links(members.filter("rep <> centre").select(*ordered("rep", "centre")).distinct(), "edges-0")
     labels = components(scratch, edges, "parts-0")
 
     # buckets that span components: one more centre, by a random priority
-    labelled = members.select("band", "value", "rep", "n").join(labels.toDF("rep", "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-    spans = labelled.groupBy("band", "value").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min(F.struct(F.xxhash64("rep"), "rep", "root", "n")).alias("c")).filter("lo <> hi")
-    second = labelled.join(spans.select("band", "value", "c"), ["band", "value"]).filter((F.col("root") != F.col("c.root")) & near(F.col("n"), F.col("c.n")))
-    more = links(second.select(*ordered("rep", "c.rep")).distinct(), "links-1")
+    rows = labelled(members, labels)
+    spans = rows.groupBy("band", "value").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min(F.struct(F.xxhash64("rep"), "rep", "root", "n")).alias("c")).filter("lo <> hi")
+    open_ = scratch.keep(rows.join(salted(spans.select("band", "value", "c")), key), "open-0")
+    scratch.drop("members")
+    second = open_.filter((F.col("root") != F.col("c.root")) & near(F.col("n"), F.col("c.n")))
+    more = links(second.select(*ordered("rep", "c.rep")).distinct(), "more-0")
     edges = scratch.keep(edges.unionByName(more), "edges-1")
     labels = components(scratch, edges, "parts-1")
 
-    # what is left: pairs across components of a bucket, and only those
-    labelled = members.select("band", "value", "rep", "n").join(labels.toDF("rep", "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-    spans = labelled.groupBy("band", "value").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("size")).filter("lo <> hi").select("band", "value", "size")
-    open_ = scratch.keep(labelled.join(spans, ["band", "value"]), "open")
-    small = open_.filter(F.col("size") <= SMALL).drop("size")
-    across = small.toDF("band", "value", "x", "n_x", "root_a").join(small.toDF("band", "value", "y", "n_y", "root_b"), ["band", "value"])
-    across = across.filter((F.col("root_a") < F.col("root_b")) & near(F.col("n_x"), F.col("n_y"))).select(*ordered("x", "y")).distinct()
-    more = links(across, "links-2")
-    large = open_.filter(F.col("size") > SMALL).withColumn("chunks", F.ceil(F.col("size") / F.lit(CHUNK)))
-    large = large.withColumn("side", F.pmod(F.xxhash64("rep", "band"), F.col("chunks"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)))
-    large = large.select("rep", "root", "band", "value", "side", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"))
-    held = large.join(sketched.select("rep", "bands"), "rep").join(sets, "rep")
-    blocks = held.groupBy("band", "value", "low", "high").agg(F.collect_list(F.struct("rep", "root", "side", "bands", "values")).alias("m"))
-    more = more.unionByName(scratch.keep(confirm_blocks(blocks, percent), "links-3"))
-    labels = components(scratch, scratch.keep(edges.unionByName(more), "edges-2"), "parts-2")
-
-    least = labels.groupBy("root").agg(F.min("node").alias("component"))
+    # what is left: pairs across components of a bucket, in blocks, the likeliest first
+    for step, most in ((1, NEAREST), (2, None)):
+        rows = labelled(open_, labels)
+        spans = rows.groupBy("band", "value").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("size")).filter("lo <> hi")
+        open_ = scratch.keep(rows.join(salted(spans.select("band", "value", "size")), key), f"open-{step}")
+        scratch.drop(f"open-{step - 1}")
+        dealt = open_.withColumn("chunks", F.ceil(F.col("size") / F.lit(CHUNK)))
+        dealt = dealt.withColumn("side", F.pmod(F.xxhash64("rep", "band"), F.col("chunks"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)))
+        dealt = dealt.select("rep", "root", "n", "band", "value", "side", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"))
+        blocks = dealt.join(sketched.select("rep", "bands"), "rep").groupBy("band", "value", "low", "high").agg(F.collect_list(F.struct("rep", "root", "side", "n", "bands")).alias("m"))
+        pairs = scratch.keep(likely_in_blocks(blocks, percent, most).distinct(), f"pairs-{step}")
+        more = scratch.keep(confirm(pairs, sets, percent), f"more-{step}")
+        edges = scratch.keep(edges.unionByName(more), f"edges-{step + 1}")
+        labels = components(scratch, edges, f"parts-{step + 1}")
+
+    firsts = labels.join(unique.select("rep", "first"), labels["node"] == unique["rep"])
+    least = firsts.groupBy("root").agg(F.min("first").alias("component"))
     named = scratch.keep(labels.join(least, "root").select(F.col("node").alias("rep"), "component"), "named")
-    known = unique.select("n", "set_a", "set_b", "rep").join(named, "rep", "left").select("n", "set_a", "set_b", F.coalesce("component", "rep").alias("component"))
+    known = unique.select("n", "set_a", "set_b", "rep", "first").join(named, "rep", "left").select("n", "set_a", "set_b", F.coalesce("component", "first").alias("component"))
     out = sketches.select("doc_id", "n", "set_a", "set_b").join(known, ["n", "set_a", "set_b"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce(F.col("component"), F.col("doc_id")))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+    scratch.drop_others("sketches", "unique", "named")
+    return out.select("doc_id", "n", "set_a", "set_b", component.alias("component"))
+
+
+def group(df: DataFrame, percent: int = 75) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept for every row of ``df`` (doc_id, text)."""
+    out = _grouped(df, percent, Scratch(df.sparkSession))
+    kept = F.coalesce(F.col("component") == F.col("doc_id"), F.lit(True))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), kept.alias("kept"))
 
 
 def drop_copies(df: DataFrame, percent: int = 75) -> DataFrame:
-    """The rows of ``df`` that stay when one document of each group does (the smallest doc_id), all columns as they are."""
-    gone = group(df.select("doc_id", "text"), percent).filter("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
+    """The rows of ``df`` that stay when one document of each group does, all columns as they are.
+
+    The smallest doc_id of a group stays, once. Rows without words are in no group and stay.
+    """
+    scratch = Scratch(df.sparkSession)
+    found = scratch.keep(_grouped(df.select("doc_id", "text"), percent, scratch), "verdicts").filter("doc_id IS NOT NULL")
+    stays = F.col("component") == F.col("doc_id")
+    by_id = found.groupBy(F.col("doc_id").alias("_which")).agg(F.bool_or(stays).alias("_any"), F.count(F.lit(1)).alias("_n"))
+    gone = scratch.keep(by_id.filter("NOT _any OR _n > 1"), "gone")
     # the row travels as one value, so its columns can have any names
-    rows = df.select(F.struct(*(df[f"`{c}`"] for c in df.columns)).alias("_row"), df["doc_id"].cast("bigint").alias("_id"))
-    return rows.join(gone, F.col("_id") == F.col("_gone"), "left_anti").select("_row.*")
+    rows = df.select(F.struct(*(df[f"`{c}`"] for c in df.columns)).alias("_row"), df["`doc_id`"].cast("bigint").alias("_id"))
+    out = rows.join(gone, F.col("_id") == F.col("_which"), "left_anti").select("_row.*")
+    again = gone.filter("_any")
+    scratch.drop_others("verdicts", "gone")
+    if again.isEmpty():
+        return out
+    # ids with several rows: decided by id and set, and one row of each stays
+    several = rows.join(again.select("_which"), F.col("_id") == F.col("_which"), "left_semi")
+    digest = F.arrow_udf(_digests, "struct<n: bigint, a: bigint, b: bigint>")(F.col("_row.text").cast("string"))
+    several = several.withColumn("_d", digest)
+    verdicts = found.filter(stays).select(F.col("doc_id").alias("_which"), F.struct(F.col("n").alias("n"), F.col("set_a").alias("a"), F.col("set_b").alias("b")).alias("_own")).distinct()
+    several = several.join(verdicts, (F.col("_id") == F.col("_which")) & (F.col("_d") == F.col("_own")), "left_semi")
+    once = several.filter("_d.n > 0").groupBy("_id", "_d").agg(F.min_by("_row", F.col("_row.text")).alias("_row")).select("_row.*")
+    return out.unionByName(several.filter("_d.n = 0").select("_row.*")).unionByName(once)
+
+
+def _digests(texts: pa.Array) -> pa.Array:
+    """(n, a, b) of each text's shingle set."""
+    sets = [shingles(t) for k in range(0, len(texts), 256) for t in texts.slice(k, 256).to_pylist()]
+    digests = [set_digest(v) for v in sets]
+    parts = [pa.array(x, pa.int64()) for x in (list(map(len, sets)), [x for x, _ in digests], [y for _, y in digests])]
+    return pa.StructArray.from_arrays(parts, names=["n", "a", "b"])
