@@ -39,7 +39,7 @@ BEAM, SEEN, RESCORED = 256, 2048, 96
 PART = 4
 #: Rows of a block of ``exact``.
 BLOCK = 2048
-#: Vectors up to which BEAM and SEEN suffice as they are; each doubling beyond adds half of them.
+#: Vectors up to which BEAM and SEEN suffice as they are; each doubling beyond adds a quarter of them.
 BASE = 10_000
 #: Up to this length a product of 8-bit vectors is a whole number that single precision holds.
 EXACT = 2**24 // 127**2
@@ -201,7 +201,7 @@ def build(packed: DataFrame, n: int, scratch: Scratch) -> DataFrame:
 
 def _walk(graph: DataFrame, packed: DataFrame, queries: DataFrame, n: int, scratch: Scratch, best: int) -> DataFrame:
     """id and near: the ``best`` nodes that a query has met by the time its whole beam is expanded, best first."""
-    wide = 1 + max(0.0, np.log2(max(1, n) / BASE)) / 2
+    wide = 1 + max(0.0, np.log2(max(1, n) / BASE)) / 4
     width, most = int(BEAM * wide), int(SEEN * wide)
     expand = width // PART
     start = graph.join(queries, "id", "left_semi").join(packed, "id")
