@@ -158,6 +158,39 @@ def test_quality_measures(spark, texts):
         assert row["base_failed"] == (len(words) < 50 or 100 * measures[4] > 50 * len(words)) and not (row["base_failed"] and row["kept"])
 
 
+def test_expectation_maximisation_against_plain_loops():
+    """The same model and constraints, document by document and vote by vote."""
+    r = random.Random(12)
+    patterns = [tuple(r.choice((-1, 0, 1, 1)) for _ in quality.RULES) for _ in range(12)]
+    docs = [patterns[min(int(r.expovariate(0.4)), 11)] for _ in range(500)]
+    code = lambda votes: sum((v + 1) * 3**k for k, v in enumerate(reversed(votes)))
+    good, bad, share = quality.estimate(dict(Counter(map(code, docs))))
+
+    def ratio(v, g, b):
+        x = np.log(g / b)
+        return max(0, x) if v > 0 else min(0, x) if v < 0 else min(1, max(-1, x))
+
+    belief = [(1.0, 0.5, 0.1)[min(2, sum(v < 0 for v in d))] for d in docs]
+    for _ in range(200):
+        tables = []
+        for side, prior in ((belief, quality.ON_GOOD), ([1 - x for x in belief], quality.ON_BAD)):
+            rows = []
+            for rule in range(len(quality.RULES)):
+                votes = [quality.PRIOR_VOTES * prior[v + 1] + sum(x for x, d in zip(side, docs) if d[rule] == v) for v in (-1, 0, 1)]
+                rows.append([x / sum(votes) for x in votes])
+            tables.append(rows)
+        own = min(quality.SHARE[1], max(quality.SHARE[0], sum(belief) / len(docs)))
+        new = []
+        for d in docs:
+            odds = np.log(own / (1 - own)) + sum(ratio(v, tables[0][k][v + 1], tables[1][k][v + 1]) for k, v in enumerate(d))
+            new.append(float(1 / (1 + np.exp(-odds))))
+        change, belief = max(abs(a - b) for a, b in zip(new, belief)), new
+        if change < 1e-9:
+            break
+    assert abs(share - own) < 1e-6 and np.abs(good - tables[0]).max() < 1e-6 and np.abs(bad - tables[1]).max() < 1e-6
+    assert all(abs(quality.posterior(code(d), good, bad, share) - x) < 1e-6 for d, x in zip(docs, belief))
+
+
 def test_quality_agrees_with_labels(spark):
     labels = {r["doc_id"]: r["quality"] for r in table(spark, "/root/testdata/sf0.01", "labels").collect()}
     rows = [r for r in quality.judge(table(spark, "/root/testdata/sf0.01", "documents")).collect() if r["doc_id"] in labels and not r["base_failed"]]

@@ -6,7 +6,9 @@ votes on good and on bad documents and the share of good ones; a document's post
 decides, not a chain of must-pass filters. Documents that fail the base rules are rejected first.
 
 Good and bad can't change places: the start comes from the votes' signs, a good vote never counts against a document, and
-the share of good documents stays within SHARE. Where no rule votes bad there is nothing to reject.
+the share of good documents stays within SHARE. Where no rule votes bad there is nothing to reject. The posterior is thus
+that of the model under a constraint: log likelihood ratios of votes are held to the vote's sign, and those of abstentions
+to -1 to 1, in the expectation step as in the verdict.
 
 Cases: null or empty text has no words and fails the base rules; texts count whole; equal rows get equal results; an
 empty table gives no rows; extra columns are ignored (``keep_good`` hands them through).
@@ -180,10 +182,11 @@ def _votes(text: Column) -> Column:
 def keep_good(df: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The rows of ``df`` that judge() would keep, all columns as they are.
 
-    The votes are worked out twice, to count them and to filter, rather than writing or shuffling the texts.
+    The votes are worked out once and written beside the rows, to be counted and then to filter.
     """
+    scratch = Scratch(df.sparkSession)
     # the row travels as one value, so its columns can have any names
-    voted = df.select(F.struct(*(df[f"`{c}`"] for c in df.columns)).alias("_row"), _votes(df["text"].cast("string")).alias("_votes"))
+    voted = scratch.keep(df.select(F.struct(*(df[f"`{c}`"] for c in df.columns)).alias("_row"), _votes(df["`text`"].cast("string")).alias("_votes")), "voted")
     counted = voted.select(F.col("_votes").alias("votes"), (F.col("_votes") < 0).alias("base_failed"))
     good = posteriors(counted).filter(F.col("posterior") >= threshold).select(F.col("votes").alias("_votes"))
     return voted.join(F.broadcast(good), "_votes", "left_semi").select("_row.*")
