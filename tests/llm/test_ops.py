@@ -517,6 +517,39 @@ def test_packing_plans(seed):
             held[v] += n
     assert held == counts
     assert sum(used.values()) <= 1.01 * -(-int(lengths.sum()) // 1024) + 1
+    plain = dict(counts)
+    assert sum(used.values()) <= plain.pop(1024, 0) + sum(packing.best_fit(plain, 1024).values())
+
+
+@pytest.mark.parametrize("sf", ["0.01", "0.1"])
+def test_patterns_make_most_sequences(sf, monkeypatch):
+    """On the tables' own lengths: more than half of the part-filled sequences are fitted patterns, and none is lost to best fit."""
+    import pyarrow.parquet as pq
+
+    encoder, counts = packing.byte_bpe(), Counter()
+    for text in pq.read_table(f"/root/testdata/sf{sf}/documents.parquet", columns=["text"])["text"].to_pylist():
+        n = len(encoder.ids(text or "")) // 4 + 1
+        counts.update([1024] * ((n - 1) // 1024) + [(n - 1) % 1024 + 1])
+    calls, plain_fit = [], packing.best_fit
+    monkeypatch.setattr(packing, "best_fit", lambda *a: calls.append(plain_fit(*a)) or calls[-1])
+    used = packing.plan(counts, 1024)
+    plain = {k: n for k, n in counts.items() if k != 1024}
+    part = sum(used.values()) - counts[1024]
+    assert sum(calls[-1].values()) < 0.5 * part
+    assert part <= sum(plain_fit(plain, 1024).values())
+    assert sum(used.values()) <= -(-sum(k * n for k, n in counts.items()) // 1024) + 2
+
+
+def test_packing_of_repeated_rows(spark):
+    """Rows that repeat an id, with and without the same text, and rows without an id, are packed each."""
+    rows = [(1, "a b c")] * 50 + [(1, "other words")] * 3 + [(None, None)] * 40 + [(None, "x")] * 7
+    out = packing.pack(documents(spark, rows)).collect()
+    assert len(out) == 100 and sum(r["doc_id"] is None for r in out) == 47
+    places = sorted((r["sequence_id"], r["offset"], r["length"]) for r in out)
+    at = defaultdict(int)
+    for sequence, offset, length in places:
+        assert offset == at[sequence]
+        at[sequence] += length
 
 
 # all

@@ -32,8 +32,8 @@ _CRC = f"""xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range
 SHARDING = f"""
 WITH shards AS ({SHARDS.strip().replace("WITH RECURSIVE", "WITH RECURSIVE", 1)}),
 sized AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-rows AS (SELECT doc_id, length(h) // 2 + 1 AS size, {_CRC} AS text_crc32,
-  (((CASE WHEN doc_id < 0 THEN 18446744073709551616::HUGEINT + doc_id ELSE doc_id::HUGEINT END) * 2862933555777941757 + 1) % 4294967296 // 256) % 1024 AS g FROM sized)
+summed AS (SELECT doc_id, length(h) // 2 + 1 AS size, {_CRC} AS text_crc32 FROM sized),
+rows AS (SELECT *, (((CASE WHEN doc_id < 0 THEN 18446744073709551616::HUGEINT + doc_id ELSE doc_id::HUGEINT END) * 2862933555777941757 + 1) % 4294967296 // 256 + text_crc32) % 1024 AS g FROM summed)
 SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'key' AS law, CAST(shard AS INTEGER) AS shard,
   CAST(row_number() OVER (PARTITION BY shard ORDER BY g, doc_id, size, text_crc32) - 1 AS BIGINT) AS slot, CAST(grown_shard AS INTEGER) AS grown_shard
 FROM rows JOIN shards USING (doc_id)"""

@@ -3,13 +3,18 @@
 1. Texts become token ids (Arrow batches) and pieces of at most ``width`` tokens; only their lengths and checksums stay.
 2. The histogram of lengths (``width`` rows at most) goes to the driver. Patterns of two or three lengths that fill a
    sequence are fitted to it by non-negative least squares: patterns enter by their gradient, so all of them count
-   without a matrix of all. Repeat counts are rounded and cut to what the histogram holds; what remains is packed best
-   fit first, longest first, over lengths and counts. The plan's size depends on ``width``, not on the corpus.
-3. Each piece gets its rank among the pieces of its length (counts of groups of about ``group_rows`` rows, then a row
-   number within the group) and reads its sequence and offset from the plan.
+   without a matrix of all. Repeat counts are rounded, down first and then up by the largest remainder as far as the
+   histogram holds, and what is left is fitted again until nothing more rounds. Pieces of up to ``width / RESERVE`` are no
+   part of the fit: they fill the gaps of the residuals, which are packed best fit first, longest first, over lengths and
+   counts. Where the plan needs more sequences than best fit alone would (it can on small tables), the last patterns go
+   back to the residuals until it doesn't. The plan's size depends on ``width``, not on the corpus.
+3. Each piece gets its rank among the pieces of its length (counts of small groups, then a row number within the group)
+   and reads its sequence and offset from the plan. A row's group comes from its number in the stored table of pieces, so
+   neither a common length nor a repeated doc_id meets in one task.
 
 Cases: null or empty text is the end id alone; a text of any length is cut, never shortened; equal lengths are placed in
-the order of group, doc_id and piece; repeated rows are packed each; empty tables give no rows; extra columns are ignored.
+the order of group, doc_id and piece; repeated rows are packed each; empty tables give no rows; extra columns are ignored,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -67,7 +72,7 @@ def _price(g: np.ndarray, width: int, most: int) -> list[Pattern]:
     return [p for gain, p in sorted(found, reverse=True)[:most] if gain > 1e-6]
 
 
-def fit_patterns(counts: dict[int, int], width: int, rounds: int = 8, batch: int = 96) -> dict[Pattern, float]:
+def fit_patterns(counts: dict[int, int], width: int, rounds: int = 20, batch: int = 128, sweeps: int = 8) -> dict[Pattern, float]:
     """Non-negative least squares of pattern repeats against the histogram, by rounds of pricing and descent.
 
     Long pieces weigh more: they are the hard ones to place later.
@@ -102,7 +107,7 @@ def fit_patterns(counts: dict[int, int], width: int, rounds: int = 8, batch: int
         gram, right = columns.T @ columns, columns.T @ target
         diagonal = np.diag(gram).copy()
         slope = gram @ x - right
-        for _ in range(6):
+        for _ in range(sweeps):
             for k in range(len(x)):
                 step = max(0.0, x[k] - slope[k] / diagonal[k]) - x[k]
                 if step:
@@ -147,34 +152,48 @@ def best_fit(counts: dict[int, int], width: int) -> dict[Pattern, int]:
     return out
 
 
-#: Shares of the fitted repeats that are tried; what a share leaves goes to best fit.
-SHARES = (1.0, 0.75, 0.5, 0.25, 0.1)
+#: Pieces of up to width / RESERVE stay out of the fit.
+RESERVE = 8
 
 
-def plan(counts: dict[int, int], width: int) -> dict[Pattern, int]:
-    """Patterns and how often each is used; together they hold every piece once.
-
-    Rounding every fitted repeat can strand lengths that best fit would have paired, so several shares of the fit are
-    rounded and the one whose residuals pack into the fewest sequences wins.
-    """
-    fitted = sorted(fit_patterns(counts, width).items(), key=lambda p: (-p[1], p[0]))
-    best: dict[Pattern, int] = {}
-    for share in SHARES:
-        left = dict(counts)
-        used: dict[Pattern, int] = defaultdict(int)
-        if full := left.pop(width, 0):
-            used[(width,)] = full
-        for pattern, x in fitted:
-            n = min([int(share * x), *(left[v] // pattern.count(v) for v in pattern)])
+def round_patterns(fitted: dict[Pattern, float], left: dict[int, int]) -> list[tuple[Pattern, int]]:
+    """Whole repeats of fitted patterns, taken out of ``left``: rounded down, then up by the largest remainder."""
+    out = []
+    for up in (False, True):
+        for pattern, x in sorted(fitted.items(), key=lambda p: (-(p[1] % 1 if up else p[1]), p[0])):
+            want = int(x % 1 > 0.05) if up else int(x)
+            n = min([want, *(left[v] // pattern.count(v) for v in pattern)])
             if n > 0:
-                used[pattern] += n
+                out.append((pattern, n))
                 for v in pattern:
                     left[v] -= n
-        for pattern, n in best_fit(left, width).items():
-            used[pattern] += n
-        if not best or sum(used.values()) < sum(best.values()):
-            best = used
-    return best
+    return out
+
+
+def plan(counts: dict[int, int], width: int) -> dict[Pattern, int]:
+    """Patterns and how often each is used; together they hold every piece once, in no more sequences than best fit."""
+    left = dict(counts)
+    full = left.pop(width, 0)
+    most = sum(best_fit(left, width).values())
+    small = {v: left.pop(v) for v in sorted(left) if v <= width // RESERVE}
+    taken: list[tuple[Pattern, int]] = []
+    while got := round_patterns(fit_patterns(left, width), left):
+        taken += got
+    left |= small
+    rest = best_fit(left, width)
+    while taken and sum(n for _, n in taken) + sum(rest.values()) > most:
+        back = max(1, len(taken) // 16)
+        for pattern, n in taken[-back:]:
+            for v in pattern:
+                left[v] += n
+        taken = taken[:-back]
+        rest = best_fit(left, width)
+    used: dict[Pattern, int] = defaultdict(int)
+    if full:
+        used[(width,)] = full
+    for pattern, n in [*taken, *rest.items()]:
+        used[pattern] += n
+    return used
 
 
 def _layout(used: dict[Pattern, int]) -> list[tuple[int, int, int, int, int]]:
@@ -190,24 +209,26 @@ def _layout(used: dict[Pattern, int]) -> list[tuple[int, int, int, int, int]]:
     return rows
 
 
-def pack_pieces(pieces: DataFrame, width: int = 1024, group_rows: int = 100_000) -> DataFrame:
-    """Add sequence_id and offset to pieces (a stored table with doc_id, piece, start, length, ids_crc32)."""
+def pack_pieces(pieces: DataFrame, width: int = 1024, row: str = "_row") -> DataFrame:
+    """Add sequence_id and offset to pieces: a stored table with length and ``row``, a number of its own for every row."""
     spark = pieces.sparkSession
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
-    # tables of at most `width` rows and of the plan's rows, both independent of the corpus
-    groups = spark.createDataFrame([(k, -(-n // group_rows)) for k, n in counts.items()], "length bigint, _groups bigint")
+    # about four groups a task; at most `width` rows more than that, and a plan of a size that the corpus doesn't change
+    each = max(1, -(-sum(counts.values()) // (4 * int(spark.conf.get("spark.sql.shuffle.partitions")))))
+    groups = spark.createDataFrame([(k, -(-n // each)) for k, n in counts.items()], "length bigint, _groups bigint")
     layout = spark.createDataFrame(_layout(plan(counts, width)), "length bigint, _from bigint, _to bigint, _sequence bigint, _offset bigint")
-    ranked = pieces.join(F.broadcast(groups), "length").withColumn("_group", F.pmod(F.xxhash64("doc_id", "piece"), F.col("_groups")))
+    ranked = pieces.join(F.broadcast(groups), "length").withColumn("_group", F.pmod(F.xxhash64(row), F.col("_groups")))
     before = "sum(n) OVER (PARTITION BY length ORDER BY _group ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - n AS _before"
     starts = ranked.groupBy("length", "_group").agg(F.count(F.lit(1)).alias("n")).selectExpr("length", "_group", before)
-    number = F.expr("row_number() OVER (PARTITION BY length, _group ORDER BY doc_id, piece, start, ids_crc32)")
-    ranked = ranked.withColumn("_n", number).join(starts, ["length", "_group"]).withColumn("_rank", F.col("_before") + F.col("_n") - 1)
+    number = F.expr(f"row_number() OVER (PARTITION BY length, _group ORDER BY doc_id, piece, start, ids_crc32, {row})")
+    ranked = ranked.withColumn("_n", number).join(F.broadcast(starts), ["length", "_group"]).withColumn("_rank", F.col("_before") + F.col("_n") - 1)
     inside = (ranked["length"] == layout["length"]) & (F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_to"))
     placed = ranked.join(F.broadcast(layout), inside).drop(layout["length"])
-    return placed.select(*pieces.columns, (F.col("_sequence") + F.col("_rank") - F.col("_from")).alias("sequence_id"), F.col("_offset").alias("offset"))
+    kept = [c for c in pieces.columns if c != row]
+    return placed.select(*kept, (F.col("_sequence") + F.col("_rank") - F.col("_from")).alias("sequence_id"), F.col("_offset").alias("offset"))
 
 
 def pack(df: DataFrame, width: int = 1024, end_id: int = 2, with_ids: bool = False, files: tuple[str | None, str | None] = (None, None)) -> DataFrame:
     """Pack every row of ``df`` (doc_id, text); see the module's text."""
-    pieces = Scratch(df.sparkSession).keep(tokenize(df, width, end_id, with_ids, files), "pieces")
+    pieces = Scratch(df.sparkSession).keep(tokenize(df, width, end_id, with_ids, files).withColumn("_row", F.monotonically_increasing_id()), "pieces")
     return pack_pieces(pieces, width)

@@ -75,7 +75,8 @@ def assign_shards(df: DataFrame, key: str = "doc_id", text: str = "text", shards
         F.lit("key").alias("law"),
         jump(F.col(key), shards).alias("shard"),
         jump(F.col(key), shards + 1).alias("grown_shard"),
-        F.pmod(F.shiftright(low, 8), F.lit(slot_groups)).cast("int").alias("_group"),
+        # the text counts too, so that different rows under one key don't meet in one task
+        F.pmod(F.shiftright(low, 8) + F.crc32(text_or_empty(text).cast("binary")), F.lit(slot_groups)).cast("int").alias("_group"),
     )
     before = "sum(n) OVER (PARTITION BY shard ORDER BY _group ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - n AS _before"
     counts = rows.groupBy("shard", "_group").agg(F.count(F.lit(1)).alias("n")).selectExpr("shard AS _shard", "_group AS _g", before)
