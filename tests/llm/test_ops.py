@@ -310,6 +310,23 @@ def test_licences(spark):
     assert sorted(map(repr, map(tuple, own.collect()))) == sorted(map(repr, theirs.project(", ".join(own.columns)).fetchall()))
 
 
+def test_licences_of_hard_texts(spark):
+    """Adjacent spellings, copyright lines of every form and odd characters, against the oracle's own rules."""
+    r = random.Random(2)
+    parts = ["licence", "licence", "License", "sub", "sub-license", "sublicensing", "v2.0", "v 2 0", "http", "©", "(c) 2020 x", "Copyright Foo Inc.", "copyright notice", "Copyright: y", "\n", "\n", "\t", "é", "“q”", "all rights reserved", "per cent", "2", "0", "a_b"]
+    texts = [" ".join(r.choice(parts) for _ in range(r.randint(1, 25))) for _ in range(150)]
+    texts += ["licence licence licence licence", "Copyright Foo Inc.\n" + licences._GRANT_MIT, " * Copyright The Foo Authors, see AUTHORS\n" + licences._GRANT_MIT, "Released under the MIT licence", "", None, "\n", "copyright\n" + licences._GRANT_MIT]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", [(k, t) for k, t in enumerate(texts)])
+    own = licences.scan(documents(spark, list(enumerate(texts))))
+    theirs = con.sql(oracle.SQL["op5_licences"]).project(", ".join(own.columns)).fetchall()
+    assert sorted(map(repr, map(tuple, own.collect()))) == sorted(map(repr, theirs))
+    found = {row[0]: row for row in theirs}
+    assert found[150][1] == hashlib.sha256(b"license license license license").hexdigest()
+    assert found[151][2] == found[152][2] == "MIT" and found[153][4] == "MIT" and found[157][2] is None
+
+
 def test_licence_spellings(spark):
     text = licences.KNOWN[0][1]
     rows = [(1, "The MIT License (MIT)\n\nCopyright (c) 2019 Foo\nCopyright (c) 2020 Bar\n\n" + text.replace("sublicense", "sub-license").replace(", ", ",\n * ")), (2, text.lower()), (3, text + " more"), (4, None), (5, "!?"), (6, "intro\nReleased under the MIT licence\nend")]

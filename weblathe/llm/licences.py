@@ -4,7 +4,7 @@ A text's canonical form drops copyright lines, lower-cases A-Z, turns punctuatio
 writes equivalent spellings one way. The digest of the whole form is joined to the digests of known licences, a table of
 fixed size; the lines of a text are looked up the same way, since documents often carry a one-line notice.
 
-Both Spark and DuckDB can run the expressions (``canonical_sql``), so the oracle and the query share no code path but the
+The oracle (``oracle_sql``) states the same rules on its own, line by line and with plain replacements, and shares only the
 fixed tables.
 
 Cases: null or empty text, or one of punctuation only, has an empty form and no licence; texts count whole; equal rows get
@@ -91,22 +91,30 @@ KNOWN = (
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def canonical_sql(text: str, spark: bool) -> str:
-    """The canonical form of a SQL string expression, in Spark's or DuckDB's dialect."""
-    quote = (lambda s: "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'") if spark else (lambda s: "'" + s.replace("'", "''") + "'")
-    every = "" if spark else ", 'g'"
+#: What a copyright line begins with, after the word; the other words follow it in the prose of licences. Fixed values.
+MARKS = r"(?:\(c\)|©|[0-9]{4}|:)"
+PROSE = "notice|notices|holder|holders|owner|owners|license|licence|licenses|law|laws|and|or|in|of|is|on|to|for|by|this|that|if|with|which|interest|protection|treaty|statement|disclaimer|claim|status|permission|rights?|act"
+#: Punctuation beyond ASCII that counts as blanks.
+MARKED = "‘’“”–—•"
+
+
+def canonical_sql(text: str) -> str:
+    """The canonical form of a Spark SQL string expression."""
+    quote = lambda s: "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
     def sub(x: str, pattern: str, to: str) -> str:
-        return f"regexp_replace({x}, {quote(pattern)}, {quote(to)}{every})"
+        return f"regexp_replace({x}, {quote(pattern)}, {quote(to)})"
 
     x = f"translate(coalesce({text}, ''), '{UPPER}', '{LOWER}')"
-    x = sub(x, r"(^|\n)[^a-z0-9\n(©]*(?:copyright[ \t]*(?:\(c\)|©|[0-9]{4}|:)|\(c\)[ \t]*[0-9]{4}|©|all rights reserved)[^\n]*", "$1" if spark else r"\1")
-    x = sub(x, "[‘’“”–—•]", " ")
+    owner = rf"copyright[ \t]+(?!(?:{PROSE})(?![a-z0-9]))[a-z][^\n]{{0,80}}(?=\n|$)"
+    x = sub(x, rf"(?<![^\n])[^a-z0-9\n(©]*(?:copyright[ \t]*{MARKS}[^\n]*|\(c\)[ \t]*[0-9]{{4}}[^\n]*|©[^\n]*|all rights reserved[^\n]*|{owner})", "")
+    x = sub(x, f"[{MARKED}]", " ")
     x = sub(x, r"[\x00-\x2f\x3a-\x60\x7b-\x7f]+", " ")
-    x = f"concat(' ', trim({x}), ' ')"
+    x = f"trim({x})"
     for word, to in SPELLINGS:
-        x = sub(x, f" {word} ", f" {to} ")
-    return f"trim({x})"
+        # the blanks around a word belong to its neighbours as well
+        x = sub(x, f"(?<![^ ]){word}(?![^ ])", to)
+    return x
 
 
 def scan(df: DataFrame) -> DataFrame:
@@ -116,25 +124,38 @@ def scan(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     rows = ", ".join("('{}', '{}')".format(name, text.replace("\\", "\\\\").replace("'", "\\'").replace("\n", "\\n")) for name, text in KNOWN)
-    known = spark.sql(f"SELECT sha2({canonical_sql('t', True)}, 256) AS known_digest, min(l) AS licence FROM VALUES {rows} AS v(l, t) GROUP BY 1")
+    known = spark.sql(f"SELECT sha2({canonical_sql('t')}, 256) AS known_digest, min(l) AS licence FROM VALUES {rows} AS v(l, t) GROUP BY 1")
     digests = {r["known_digest"]: r["licence"] for r in known.collect()}  # one row per known text at most
     table = "map(" + ", ".join(f"'{d}', '{name}'" for d, name in sorted(digests.items())) + ")"
     text = "CAST(text AS STRING)"
     # a known line holds one of these words; others need no digest
     lines = f"filter(split(coalesce({text}, ''), '\\n'), l -> l RLIKE '(?i)licen[sc]e')"
-    found = f"filter(transform({lines}, l -> element_at({table}, sha2({canonical_sql('l', True)}, 256))), x -> x IS NOT NULL)"
-    out = df.selectExpr("doc_id", f"sha2({canonical_sql(text, True)}, 256) AS digest", f"{found} AS _found")
+    found = f"filter(transform({lines}, l -> element_at({table}, sha2({canonical_sql('l')}, 256))), x -> x IS NOT NULL)"
+    out = df.selectExpr("doc_id", f"sha2({canonical_sql(text)}, 256) AS digest", f"{found} AS _found")
     out = out.join(F.broadcast(known), F.col("digest") == F.col("known_digest"), "left")
     return out.selectExpr("doc_id", "digest", "licence", "CAST(size(_found) AS BIGINT) AS n_notices", "array_join(array_sort(array_distinct(_found)), ',') AS notices")
 
 
 def oracle_sql() -> str:
-    """The same result in DuckDB's SQL over the view ``documents``."""
+    """The same result in DuckDB's SQL over the view ``documents``: lines that are copyright lines go, and words stand apart
+    with two blanks between them, so that plain replacements see each with its own."""
     rows = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in KNOWN)
+    plain = f"translate(l, '{UPPER}', '{LOWER}')"
+    lead = r"^[^a-z0-9(©]*"
+    drop = " OR ".join([
+        rf"regexp_matches(l, '{lead}copyright[ \t]*{MARKS}')", rf"regexp_matches(l, '{lead}\(c\)[ \t]*[0-9]{{4}}')", f"regexp_matches(l, '{lead}©')", f"regexp_matches(l, '{lead}all rights reserved')",
+        rf"(regexp_matches(l, '{lead}copyright[ \t]+[a-z].{{0,80}}$') AND NOT regexp_matches(l, '{lead}copyright[ \t]+(?:{PROSE})(?:[^a-z0-9]|$)'))",
+    ])
+    joined = f"array_to_string(list_filter(list_transform(string_split(t, chr(10)), lambda l: {plain}), lambda l: NOT ({drop})), ' ')"
+    words = f"list_filter(regexp_split_to_array({joined}, '[^a-z0-9\\x{{80}}-\\x{{10FFFF}}]+|[{MARKED}]'), lambda w: w <> '')"
+    form = f"concat(' ', array_to_string({words}, '  '), ' ')"
+    for word, to in SPELLINGS:
+        form = f"replace({form}, ' {word.replace(' ', '  ')} ', ' {to.replace(' ', '  ')} ')"
     return f"""
-WITH known AS (SELECT sha256({canonical_sql('t', False)}) AS d, min(l) AS licence FROM (VALUES {rows}) AS v(l, t) GROUP BY 1),
-lines AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS l FROM documents),
-notices AS (SELECT doc_id, count(*) AS n, string_agg(DISTINCT licence, ',' ORDER BY licence) AS s
-            FROM lines JOIN known ON sha256({canonical_sql('l', False)}) = d WHERE regexp_matches(l, '(?i)licen[sc]e') GROUP BY doc_id)
-SELECT doc_id, sha256({canonical_sql('text', False)}) AS digest, licence, coalesce(n, 0) AS n_notices, coalesce(s, '') AS notices
-FROM documents LEFT JOIN known ON sha256({canonical_sql('text', False)}) = d LEFT JOIN notices USING (doc_id)"""
+WITH lines AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS t FROM documents),
+asked AS (SELECT 1 AS kind, doc_id, NULL AS name, coalesce(text, '') AS t FROM documents UNION ALL SELECT 2, doc_id, NULL, t FROM lines WHERE regexp_matches(t, '(?i)licen[sc]e')
+  UNION ALL SELECT 3, NULL, * FROM (VALUES {rows}) AS v(name, t)),
+formed AS (SELECT kind, doc_id, name, sha256(trim(replace({form}, '  ', ' '))) AS digest FROM asked),
+known AS (SELECT digest AS d, min(name) AS licence FROM formed WHERE kind = 3 GROUP BY 1),
+notices AS (SELECT doc_id, count(*) AS n, string_agg(DISTINCT licence, ',' ORDER BY licence) AS s FROM formed JOIN known ON digest = d WHERE kind = 2 GROUP BY doc_id)
+SELECT doc_id, digest, licence, coalesce(n, 0) AS n_notices, coalesce(s, '') AS notices FROM formed LEFT JOIN known ON digest = d LEFT JOIN notices USING (doc_id) WHERE kind = 1"""
