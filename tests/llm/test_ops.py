@@ -357,6 +357,43 @@ def test_extraction_on_held_out_pages():
     assert sum(html_text.extract_page(p, model) == t for p, t in pages) >= 0.9 * len(pages)
 
 
+#: Pages of other layouts than the generated ones, written by hand, with their main text.
+HAND = [
+    ("<html><body><div id=top><a href=/>Home</a> <a href=/n>News</a> <a href=/s>Sport</a></div><div class='col-main'><h1>Floods hit valley</h1><p>The river rose by two metres over night, officials said on Monday.</p><p>Several roads remain closed. Residents were asked to stay at home.</p></div><div class='col-right'><h3>Most read</h3><ol><li><a href=/1>One thing</a></li><li><a href=/2>Another thing</a></li></ol></div><div id=foot>&copy; 2020 The Valley Paper. All rights reserved.</div></body></html>","Floods hit valley\nThe river rose by two metres over night, officials said on Monday.\nSeveral roads remain closed. Residents were asked to stay at home."),
+    ("<body><table><tr><td><a href=a>Index</a></td><td><a href=b>Archive</a></td></tr></table><h1>On bread</h1><p>Bread is made of flour, water and salt; the rest is time.<p>A long rest makes a better crust, as every baker knows.<p>Keep the oven hot and the dough wet.<hr><form action=q><input name=q><button>Search</button></form></body>","On bread\nBread is made of flour, water and salt; the rest is time.\nA long rest makes a better crust, as every baker knows.\nKeep the oven hot and the dough wet."),
+    ("<div role=navigation><ul><li><a href=1>Blog</a><li><a href=2>About</a></ul></div><div class=entry><h2>Notes on sailing</h2><p>We left the harbour at dawn, with a light wind from the west.</p><blockquote><p>The sea does not reward those who are too anxious.</p></blockquote><ul><li>two ropes of ten metres</li><li>a lamp and spare oil</li></ul></div><div id=comments><h3>2 comments</h3><div><b>ann</b><p>Great read, thank you for it!</p></div><div><b>bob</b><p>I was there as well, what a day.</p></div></div>","Notes on sailing\nWe left the harbour at dawn, with a light wind from the west.\nThe sea does not reward those who are too anxious.\ntwo ropes of ten metres\na lamp and spare oil"),
+    ("<main><h1>Guide</h1><section><h2>Install</h2><p>Download the archive and unpack it into a folder of your choice.</p><pre>tar xf tool.tar</pre></section><section><h2>Use</h2><p>Run the program with the name of a file as its only argument.</p></section></main><aside><p>Sponsored: buy our hosting plan today.</p></aside><footer><p>Contact us at the usual address.</p></footer>","Guide\nInstall\nDownload the archive and unpack it into a folder of your choice.\ntar xf tool.tar\nUse\nRun the program with the name of a file as its only argument."),
+    ("<div class=cookie-bar>We use cookies to improve your visit. <button>OK</button></div><div class=story><h1>Team wins final</h1><p class=byline>By our reporter</p><p>It took extra time, but the home side scored twice to win the cup.</p><div class=ad-box>Advertisement: new shoes, half price</div><p>The captain lifted the trophy in front of thirty thousand people.</p></div><div class=newsletter><p>Sign up for our newsletter and never miss a story.</p></div>","Team wins final\nBy our reporter\nIt took extra time, but the home side scored twice to win the cup.\nThe captain lifted the trophy in front of thirty thousand people."),
+]
+
+
+def test_extraction_of_other_layouts():
+    model = html_text.trained()
+    assert sum(html_text.extract_page(p, model) == t for p, t in HAND) >= len(HAND) - 1
+
+
+def test_extraction_of_hostile_pages():
+    """No markup in texts, and linear time whatever the page."""
+    import time
+
+    model = html_text.trained()
+    assert html_text.extract_page('<p class="x>Hello there world</p>', model) == "Hello there world"
+    assert "<" not in html_text.extract_page("<p title='a>b' it's=1>Some words here</p><p>and more < 3 words</p", model).replace("< 3", "")
+    began = time.time()
+    for unit in ('<p class="x ', "<p a='", "<b>", "</i>", "<div>", "<!-- ", "<script>", "<", "<p>x", "&", "<li>x", '<p a="'):
+        html_text.parse(unit * 20_000)
+        html_text.parse("<b>" * 20_000 + unit * 20_000)
+    html_text.parse("<p " + "a" * 200_000 + ">")
+    assert time.time() - began < 30
+
+
+def test_places_among_many_siblings():
+    """A block's place is its own share of its siblings, however many there are."""
+    nodes = html_text.parse("<div>" + "<p>x</p>" * 200 + "</div>")
+    at = html_text.NAMES.index("place")
+    assert html_text.features(nodes)[2:, at].tolist() == [k / 200 for k in range(200)]
+
+
 def test_extraction_of_articles(spark):
     from html import unescape
 

@@ -19,6 +19,7 @@ import html
 import math
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import cache
 
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .boosting import Trees, fit
 
-TRAINING_PAGES, TREES, DEPTH = 400, 60, 4
+TRAINING_PAGES, TREES, DEPTH = 600, 70, 4
 #: Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
@@ -46,8 +47,10 @@ ENDS = {
     "tfoot": ({"tbody", "thead", "tr", "td", "th", "p"}, {"table"}), "thead": ({"tr", "td", "th", "p"}, {"table"}),
     "option": ({"option"}, {"select"}),
 }
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)/?>", re.S)
-ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)")
+#: Comments, declarations and tags. A quote that never ends is a character like others, and a tag that never ends takes what
+#: is left. Nothing is tried twice, so pages take linear time.
+TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)(?:>|\Z)", re.S)
+ATTRIBUTE = re.compile(r"(?<![a-zA-Z-])([a-zA-Z-]++)\s*+=\s*+(\"[^\"]*+\"|'[^']*+'|[^\s>]++)")
 TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 #: Attribute tokens, by what they suggest.
 GROUPS = {
@@ -71,11 +74,12 @@ NAMES = (
 
 
 class Node:
-    __slots__ = ("tag", "tokens", "parent", "children", "parts", "order", "link_chars", "own_chars", "chars", "links", "blocks", "stops", "prose", "h1", "article", "sign", "before", "label")
+    __slots__ = ("tag", "tokens", "parent", "children", "parts", "order", "at", "link_chars", "own_chars", "chars", "links", "blocks", "stops", "prose", "h1", "article", "sign", "before", "label")
 
     def __init__(self, tag: str, tokens: list[str], parent: Node | None, order: int):
         self.tag, self.tokens, self.parent, self.order = tag, tokens, parent, order
         self.children: list[Node] = []
+        self.at = len(parent.children) if parent is not None else 0
         self.parts: list[tuple[int, str]] = []  # (place, text of one block)
         self.link_chars = 0
         self.label: int | None = None
@@ -86,6 +90,7 @@ def parse(page: str | None) -> list[Node]:
     root = Node("html", [], None, 0)
     nodes, stack = [root], [root]
     opened: list[str] = []  # every open element, inline ones too
+    count: Counter[str] = Counter()  # of them, by tag
     place, unseen, links = 0, 0, 0
     buffer: list[str] = []
     link_buffer = 0
@@ -112,6 +117,7 @@ def parse(page: str | None) -> list[Node]:
         nonlocal unseen, links
         while len(opened) > depth:
             tag = opened.pop()
+            count[tag] -= 1
             if tag in UNSEEN:
                 unseen -= 1
             elif tag == "a":
@@ -130,19 +136,21 @@ def parse(page: str | None) -> list[Node]:
             continue
         tag = match[2].lower()
         if match[1]:
-            if tag in opened:
+            if count[tag]:
                 close_to(len(opened) - 1 - opened[::-1].index(tag))
             elif tag == "p":
                 flush()
             continue
         ends, bounds = ENDS.get(tag, ((), ()))
-        if ends:
+        if left := sum(map(count.__getitem__, ends)):
             k = len(opened)
             for depth in range(len(opened) - 1, -1, -1):
                 if opened[depth] in bounds:
                     break
                 if opened[depth] in ends:
-                    k = depth
+                    k, left = depth, left - 1
+                    if not left:
+                        break
                 elif opened[depth] in BLOCKS and opened[depth] != "p":
                     break
             close_to(k)
@@ -157,9 +165,10 @@ def parse(page: str | None) -> list[Node]:
             elif tag == "hr" and not unseen:
                 flush()
             continue
-        if tag in ("html", "body") and tag in opened:
+        if tag in ("html", "body") and count[tag]:
             continue
         opened.append(tag)
+        count[tag] += 1
         if tag in UNSEEN:
             unseen += 1
         elif tag == "a":
@@ -171,9 +180,9 @@ def parse(page: str | None) -> list[Node]:
             stack[-1].children.append(node)
             stack.append(node)
             nodes.append(node)
-        if tag == "body" and "head" in opened:
+        if tag == "body" and count["head"]:
             # an unclosed head ends where the body begins
-            unseen -= opened.count("head")
+            unseen -= count.pop("head")
             opened[:] = [t for t in opened if t != "head"]
     text_of(page[at:])
     close_to(0)
@@ -226,7 +235,7 @@ def features(nodes: list[Node]) -> np.ndarray:
                 row[j] = high[j] or up.tag == t
             row[at] = high[at] + 1
             siblings = len(up.children)
-            place = up.children.index(node) / siblings if siblings < 50 else 0.5
+            place = node.at / siblings
             around = (up.chars - node.chars) / max(1, siblings - 1)
         else:
             siblings, place, around = 1, 0.0, 0.0
@@ -293,7 +302,9 @@ def _generated(r: random.Random) -> tuple[str, str]:
     def boiler(kind: str) -> str:
         if kind == "menu":
             inner = f"<ul>{links(r.randint(3, 9))}</ul>" if r.random() < 0.8 else links(r.randint(3, 7), "span")
-            return r.choice((f"<nav>{inner}</nav>", f"<nav{named('menu|main-nav|navbar')}>{inner}</nav>", f"<div{named('menu|navigation|nav|top-menu|breadcrumbs')}>{inner}</div>"))
+            if r.random() < 0.15:
+                return f"<table><tr>{links(r.randint(2, 5), 'td')}</tr></table>"
+            return r.choice((f"<div id=\"top\">{links(4, 'span')}</div>", f"<div role=\"navigation\">{inner}</div>", f"<nav>{inner}</nav>", f"<nav{named('menu|main-nav|navbar')}>{inner}</nav>", f"<div{named('menu|navigation|nav|top-menu|breadcrumbs')}>{inner}</div>"))
         if kind == "header":
             inner = r.choice((f"<h1>{word()} {word()}</h1>", f"<div class=\"logo\">{word()}</div>", f"<p>{prose(2, 8)}</p>")) + (boiler("menu") if r.random() < 0.5 else "")
             return r.choice((f"<header>{inner}</header>", f"<div{named('header|site-header|masthead')}>{inner}</div>"))
@@ -337,6 +348,8 @@ def _generated(r: random.Random) -> tuple[str, str]:
         elif kind < 0.88:
             t = r.choice(("ul", "ol"))
             blocks.append(f"<{t}>" + "".join(shown("li", prose(1, 25)) for _ in range(r.randint(1, 6))) + f"</{t}>")
+        elif kind < 0.89:
+            blocks.append(shown("pre", prose(2, 12)))
         elif kind < 0.92:
             blocks.append("<blockquote>" + shown("p", prose(5, 40)) + "</blockquote>")
         elif kind < 0.94:
@@ -349,10 +362,15 @@ def _generated(r: random.Random) -> tuple[str, str]:
             blocks.append(f"<p><b>{esc(text)}<br>")
     for k in inside:
         blocks.insert(r.randint(1, len(blocks)), boiler(k))
+    if len(blocks) > 3 and r.random() < 0.25:
+        # parts with headings of their own
+        cut = sorted(r.sample(range(1, len(blocks)), r.randint(1, min(4, len(blocks) - 1))))
+        t = r.choice(("section", "div", "div"))
+        blocks = [*blocks[: cut[0]], *(f"<{t}>" + "".join(blocks[a:b]) + f"</{t}>" for a, b in zip(cut, [*cut[1:], len(blocks)], strict=True))]
     body = "".join(blocks)
     body = r.choice((
         f"<article>{body}</article>", f"<article>{body}</article>", f"<article{named('post|entry|story')}>{body}</article>", f"<main>{body}</main>", f"<main><article>{body}</article></main>",
-        f"<div{named('content|post-content|article-body|entry|main|story-text')}>{body}</div>", f"<div id=\"main\"><div{named('content|post')}>{body}</div></div>", f"<section{named('content|article')}>{body}</section>", f"<div>{body}</div>",
+        f"<div{named('content|post-content|article-body|entry|main|story-text')}>{body}</div>", f"<div id=\"main\"><div{named('content|post')}>{body}</div></div>", f"<section{named('content|article')}>{body}</section>", f"<div>{body}</div>", f"<div{named('col-main|center|text|col1|c3')}>{body}</div>", body,
     ))
     page = "".join(map(boiler, top)) + body + "".join(map(boiler, bottom))
     if r.random() < 0.3:
