@@ -450,16 +450,62 @@ def test_personal_data(spark, texts):
 
 
 def test_boosted_candidates(spark):
-    """Held-out sentences: few clean ones get a span beyond the base patterns, and most of the others get one.
-
-    Measured when written: 0.65 of the sentences with personal data (full IPv6 and dotted cards are often missed).
-    """
-    held = pii.training_texts(600, seed=123)
+    """Held-out sentences of the training formats: few clean ones get a span beyond the base patterns, and nearly all others get one."""
+    held = pii.training_texts(800, seed=123)
     rows = pii.report(documents(spark, [(k, t[0]) for k, t in enumerate(held)])).collect()
     out = {r["doc_id"]: r["spans"] if not (r["n_email"] or r["n_ip"] or r["n_card"] or r["n_phone"]) else None for r in rows}
     hit = sum(bool(out[k]) or out[k] is None for k, t in enumerate(held) if t[2] >= 0)
     wrong = sum(bool(out[k]) for k, t in enumerate(held) if t[2] < 0)
-    assert hit >= 0.6 * sum(t[2] >= 0 for t in held) and wrong <= 0.05 * sum(t[2] < 0 for t in held)
+    assert hit >= 0.95 * sum(t[2] >= 0 for t in held) and wrong <= 0.02 * sum(t[2] < 0 for t in held)
+
+
+def _held_formats(r):
+    """Sentences with personal data in formats that the training sentences don't have, and clean ones: (kind or None, text, start, end)."""
+    word = lambda: "".join(r.choice("aeioubcdfghlmnprstvw") for _ in range(r.randint(3, 8)))
+    num = lambda n: "".join(r.choice("0123456789") for _ in range(n))
+    hexa = lambda: f"{r.randrange(4096, 65536):x}"
+
+    def card(head, n):
+        x = head + num(n - len(head) - 1)
+        total = sum(d if k % 2 else (2 * d - 9 if d > 4 else 2 * d) for k, d in enumerate(map(int, reversed(x))))
+        return x + str(-total % 10)
+
+    four = lambda x, sep: sep.join(x[k : k + 4] for k in range(0, 16, 4))
+    forms = {
+        "email": (lambda: f"{word()} AT {word()} DOT com", lambda: f"{word()}[at]{word()}[dot]org", lambda: f"{word()}.{word()} (at) {word()}.net", lambda: f"{word()}<at>{word()}.de", lambda: f"{word()}-{word()} (AT) {word()} (DOT) info"),
+        "ip": (lambda: f"fe80::{hexa()}:{hexa()}:{hexa()}:{hexa()}", lambda: "2001:0DB8:0000:0000:" + ":".join(hexa() for _ in range(4)), lambda: f"2a02:{hexa()}:{hexa()}::1", lambda: f"fd00::{hexa()}"),
+        "card": (lambda: four(card("4", 16), "–"), lambda: (x := card("37", 15)) and f"{x[:4]}.{x[4:10]}.{x[10:]}", lambda: four(card("52", 16), "/"), lambda: four(card("4", 16), " ") + " " + num(2) + "/" + num(2)),
+        "phone": (lambda: f"({num(3)}) {num(3)}.{num(4)}", lambda: f"{num(3)}/{num(3)}-{num(4)}", lambda: f"0{num(2)}/{num(8)}", lambda: f"00{r.randint(30, 49)}-{num(2)}-{num(4)}-{num(4)}", lambda: f"0{num(3)}-{num(3)}-{num(3)}"),
+    }
+    clean = (
+        lambda: f"chapter {num(1)}.{num(2)}", lambda: f"on {num(2)}.{num(2)}.20{num(2)} at {num(2)}:{num(2)}", lambda: f"pages {num(3)}-{num(3)}", lambda: f"order {num(8)}", lambda: f"{num(2)}/{num(2)}/19{num(2)}",
+        lambda: f"at {word()}. {word().title()} {word()}", lambda: f"{num(1)},{num(3)},{num(3)} {word()}", lambda: f"key {''.join(r.choice('0123456789abcdef') for _ in range(32))}", lambda: f"{num(2)}:{num(2)}:{num(2)}.{num(3)}",
+        lambda: f"version {num(1)}.{num(2)}.{num(1)}", lambda: f"ratio {num(1)}:{num(1)}:{num(1)}", lambda: f"{word()} at noon", lambda: f"std::{word()}", lambda: f"20{num(2)}/20{num(2)}", lambda: f"{num(4)} {word()} {num(4)}",
+    )
+    out = []
+    for k in range(800):
+        kind = (*forms, *[None] * 4)[k % 8]
+        core = r.choice(forms[kind] if kind else clean)()
+        head = " ".join(word() for _ in range(r.randint(2, 5))) + " "
+        out.append((kind, head + core + r.choice((" ", ". ", ", ", "\n")) + " ".join(word() for _ in range(3)), len(head), len(head) + len(core)))
+    return out
+
+
+def test_boosted_candidates_of_held_out_formats(spark):
+    """Formats that training has not seen: at least nine in ten are found whatever the kind, and hardly a clean text is touched."""
+    held = _held_formats(random.Random(77))
+    rows = pii.report(documents(spark, [(k, t[1]) for k, t in enumerate(held)])).collect()
+    hit, total, wrong = Counter(), Counter(), []
+    for row in rows:
+        kind, text, start, end = held[row["doc_id"]]
+        spans = [s.split(":") for s in row["spans"].split(",")] if row["spans"] else []
+        total[kind] += 1
+        if kind:
+            hit[kind] += any(int(a) < end and int(b) > start and int(b) - int(a) >= 0.6 * (end - start) for _, a, b in spans)
+        elif spans and not (row["n_email"] or row["n_ip"] or row["n_card"] or row["n_phone"]):
+            wrong.append((text, row["spans"]))
+    assert all(hit[k] >= 0.9 * total[k] for k in pii.KINDS), (hit, total)
+    assert len(wrong) <= 0.02 * total[None], wrong
 
 
 def test_redaction(spark):

@@ -27,7 +27,7 @@ from .boosting import fit
 
 KINDS = ("email", "ip", "card", "phone")
 SPANS = "ARRAY<STRUCT<start: INT, end: INT, kind: INT>>"
-TRAINING_ROWS, TREES, DEPTH, LEAST_PRECISION = 3000, 30, 3, 0.98
+TRAINING_ROWS, TREES, DEPTH, LEAST_PRECISION = 6000, 40, 4, 0.98
 
 #: The base patterns. A card's match is a whole run of digits, so shorter runs than twelve need not match. Look-behinds skip starts inside a run that has failed as a whole; \G keeps starts after a match.
 _LOCAL = "[A-Za-z0-9._%+-]"
@@ -39,11 +39,14 @@ BASE = {
 }
 #: Generators of further candidates.
 LOOSE = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+ ?(?:\[at\]|\(at\)|@| at ) ?[A-Za-z0-9-]{1,64}(?: ?(?:\[dot\]|\(dot\)|\.| dot ) ?[A-Za-z0-9-]{2,32}){1,4}",
-    "ip": r"(?<![0-9A-Fa-f:])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{0,4}){2,7}(?![0-9A-Fa-f:])",
-    "card": r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}[ ./-][0-9]{4}[ ./-][0-9]{4}[ ./-][0-9]{4}|3[0-9]{3}[ ./-][0-9]{6}[ ./-][0-9]{5})(?![0-9])",
-    "phone": r"(?<![0-9A-Za-z.+-])(?:00[0-9]{1,3}[ ./-]?|\+ ?[0-9]{1,3}[ ./-]?|0|1[ .-])?(?:\([0-9]{2,5}\)|[0-9]{2,5})(?:[ ./-]{1,2}[0-9]{2,5}){1,4}(?![0-9A-Za-z])",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+(?: ?(?:[\[({<](?i:at)[\])}>]|@) ?[A-Za-z0-9-]{1,64}(?:(?: ?[\[({<](?i:dot)[\])}>] ?|\.| (?i:dot) )[A-Za-z0-9-]{2,32}){1,4}"
+    r"| (?i:at) [A-Za-z0-9-]{1,64}(?: (?i:dot) [A-Za-z0-9-]{2,32}){1,4})",
+    "ip": r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{0,4}){2,7}|::(?:[0-9A-Fa-f]{1,4}:){0,6}[0-9A-Fa-f]{1,4})(?![0-9A-Fa-f:])",
+    "card": r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}[ ./_–-][0-9]{4}[ ./_–-][0-9]{4}[ ./_–-][0-9]{4}|3[0-9]{3}[ ./_–-][0-9]{6}[ ./_–-][0-9]{5})(?![0-9])",
+    "phone": r"(?<![0-9A-Za-z.+-])(?:00[0-9]{1,3}[ ./-]?|\+ ?[0-9]{1,3}[ ./-]?|0|1[ .-])?(?:\([0-9]{1,5}\)|[0-9]{2,5})(?:[ ./-]{1,2}[0-9]{2,8}){1,4}(?![0-9A-Za-z])",
 }
+#: Endings that addresses often have. Fixed values.
+ENDINGS = "com|org|net|edu|gov|info|biz|io|eu|uk|de|fr|es|it|nl|ch|at|be|pl|pt|ca|us|au"
 #: Context words, by kind; they are looked for in the 32 characters before a candidate.
 WORDS = {
     "email": "mail|contact|write|reach|kontakt|correo|courriel",
@@ -54,7 +57,7 @@ WORDS = {
 FEATURES = (
     "kind0", "kind1", "kind2", "kind3", "len", "digits", "letters", "blanks", "dots", "dashes", "slashes", "colons", "groups", "luhn", "first0", "plus",
     "parens", "at_sign", "masked", "same", "datelike", "hexletters", "words0", "words1", "words2", "words3", "before_space", "before_symbol", "before_alnum",
-    "after_space", "after_alnum", "currency", "longest_group", "upper_before",
+    "after_space", "after_alnum", "currency", "longest_group", "upper_before", "ending", "v6_full", "v6_short", "issuer", "first_group", "last_group", "plain_at",
 )
 
 
@@ -112,7 +115,12 @@ def _features(kind: int, hit: str, before: str, after: str) -> str:
         "hexletters": n("[A-Fa-f]"), "before_space": _bool(f"{before} = '' OR {before} RLIKE '[ \\\\n\\\\t]$'"), "before_symbol": _bool(f"{before} RLIKE '[#$%=/_]$'"), "before_alnum": _bool(f"{before} RLIKE '[A-Za-z0-9]$'"),
         "after_space": _bool(f"{after} = '' OR {after} RLIKE '^[ \\\\n\\\\t]'"), "after_alnum": _bool(f"{after} RLIKE '^[A-Za-z0-9]'"), "currency": _bool(f"{before} RLIKE '(?:[$€£]|USD|EUR) ?$' OR {after} RLIKE '^ ?(?:[$€£%]|USD|EUR)'"),
         "longest_group": f"CAST(coalesce(array_max(transform({runs}, r -> length(r))), 0) AS DOUBLE)", "upper_before": _bool(f"{before} RLIKE '[A-Z]{{2,}}[ :#-]*$'"),
+        "ending": _bool(f"{hit} RLIKE '[^A-Za-z0-9](?i:{ENDINGS})$'"), "v6_full": _bool(f"{hit} RLIKE '^(?:[0-9A-Fa-f]{{1,4}}:){{7}}[0-9A-Fa-f]{{1,4}}$'"),
+        "v6_short": _bool(f"{hit} RLIKE '^(?!.*::.*::)(?:[0-9A-Fa-f]{{1,4}}:)*:(?:[0-9A-Fa-f]{{1,4}}:)*[0-9A-Fa-f]{{1,4}}$'"), "issuer": _bool(f"{_digits(hit)} RLIKE '^(?:4|5[1-5]|2[2-7]|3[47]|6011|65)'"),
+        "plain_at": _bool(f"{hit} RLIKE ' (?i:at) '"),
     }
+    values["first_group"] = f"CAST(IF(size({runs}) > 0, length(get({runs}, 0)), 0) AS DOUBLE)"
+    values["last_group"] = f"CAST(IF(size({runs}) > 0, length(get({runs}, size({runs}) - 1)), 0) AS DOUBLE)"
     for k, name in enumerate(KINDS):
         values[f"words{k}"] = _bool(f"{before} RLIKE '(?i)(?:{WORDS[name]})[^0-9]*$'")
     return "named_struct(" + ", ".join(f"'{f}', {values[f]}" for f in FEATURES) + ")"
@@ -121,7 +129,7 @@ def _features(kind: int, hit: str, before: str, after: str) -> str:
 def _candidates(df: DataFrame, text: str = "_text") -> DataFrame:
     """Add base spans and the loose candidates with their features."""
     need = {"email": f"contains({text}, '@')", "ip": f"{text} RLIKE '[0-9][.][0-9]'", "card": f"{text} RLIKE '[0-9][ -]?[0-9]'", "phone": f"contains({text}, '+')"}
-    loose = {"email": f"{text} RLIKE '(?:@|at[)\\\\]]| at )'", "ip": f"contains({text}, ':')", "card": f"{text} RLIKE '[0-9]{{4}}'", "phone": f"{text} RLIKE '[0-9]{{2}}[ ./)-]'"}
+    loose = {"email": f"{text} RLIKE '(?i:@|at[)\\\\]}}>]| at [^ ]+ dot )'", "ip": f"contains({text}, ':')", "card": f"{text} RLIKE '[0-9]{{4}}'", "phone": f"{text} RLIKE '[0-9]{{2}}[ ./)-]'"}
     parts = {}
     for k in KINDS:
         parts[f"_{k}_gaps"], parts[f"_{k}_hits"] = _matches(text, need[k], BASE[k])
@@ -142,14 +150,17 @@ def _candidates(df: DataFrame, text: str = "_text") -> DataFrame:
     return df.selectExpr(*(f"`{c}`" for c in kept), f"concat({rename}) AS _more")
 
 
+#: Whether a candidate m touches no base span: others are never selected, so they are no examples either.
+FREE = "NOT exists(_base, b -> b.start < m.span.end AND b.end > m.span.start)"
+
+
 def find(df: DataFrame, text: str = "text") -> DataFrame:
     """Add _base and _spans: arrays of (start, end, kind number), by start, then kind."""
     model, thresholds = trained(df.sparkSession)
     df = _candidates(df.withColumn("_text", F.expr(f"coalesce(CAST(`{text}` AS STRING), '')")))
     score = model.sql("m.f.")
     limit = "CASE m.span.kind " + " ".join(f"WHEN {k} THEN {t!r}D" for k, t in enumerate(thresholds)) + " END"
-    free = "NOT exists(_base, b -> b.start < m.span.end AND b.end > m.span.start)"
-    chosen = f"transform(filter(_more, m -> {free} AND {score} >= {limit}), m -> named_struct('start', m.span.start, 'less', -m.span.end, 'end', m.span.end, 'kind', m.span.kind))"
+    chosen = f"transform(filter(_more, m -> {FREE} AND {score} >= {limit}), m -> named_struct('start', m.span.start, 'less', -m.span.end, 'end', m.span.end, 'kind', m.span.kind))"
     first = f"named_struct('to', 0, 'out', CAST(array() AS {SPANS}))"
     step = "IF(c.start >= s.to, named_struct('to', c.end, 'out', array_append(s.out, named_struct('start', c.start, 'end', c.end, 'kind', c.kind))), s)"
     df = df.withColumn("_chosen", F.expr(f"array_sort({chosen})")).drop("_more")
@@ -199,7 +210,7 @@ def training_texts(rows: int, seed: int = 7) -> list[tuple[str, str, int, int]]:
     num = lambda n: "".join(r.choice("0123456789") for _ in range(n))
 
     def card(n: int, good: bool) -> str:
-        head = r.choice(("4", "51", "55", "37", "6011")) + num(n)
+        head = r.choice(("4", "51", "55", "37", "6011") if n == 16 else ("34", "37")) + num(n)
         head = head[: n - 1]
         total = sum(d if k % 2 else (2 * d - 9 if d > 4 else 2 * d) for k, d in enumerate(map(int, reversed(head))))
         check = -total % 10
@@ -212,17 +223,46 @@ def training_texts(rows: int, seed: int = 7) -> list[tuple[str, str, int, int]]:
         "email": ("mail me: ", "contact ", "write to ", "reach us at "), "ip": ("host ", "server ", "login from ", "client addr "),
         "card": ("card ", "paid with visa ", "credit card no. ", "payment by "), "phone": ("tel. ", "call ", "phone: ", "fax ", "mobile "),
     }
+    any_of = lambda *forms: r.choice(forms)()
+    group6 = lambda: f"{r.randrange(65536):x}"
+    ending = lambda: r.choice(("com", "org", "net", "de", "fr", "es", "edu", "io"))
     good = {
-        "email": lambda: r.choice((f"{word()}.{word()} [at] {word()} [dot] {r.choice(('com', 'org', 'net', 'de'))}", f"{word()}(at){word()}(dot){r.choice(('com', 'org', 'fr'))}", f"{word()} @ {word()}.{r.choice(('com', 'es'))}", f"{word()}{num(2)}[at]{word()}.com", f"{word()} at {word()} dot com")),
-        "ip": lambda: ":".join(f"{r.randrange(65536):x}" for _ in range(8)) if r.random() < 0.6 else f"2001:db8:{r.randrange(65536):x}::{r.randrange(65536):x}",
-        "card": lambda: r.choice((lambda: card(16, True), lambda: split4(card(16, True), r.choice("./")), lambda: split4(card(16, True), " ") + " " + num(3), lambda: card(16, True) + " " + card(16, True)))(),
-        "phone": lambda: r.choice((f"({num(3)}) {num(3)}-{num(4)}", f"{r.choice('2345678')}{num(2)}-{num(3)}-{num(4)}", f"{num(3)}.{num(3)}.{num(4)}", f"0{num(3)} {num(6)}"[:12], f"00{r.randint(30, 49)} {num(3)} {num(4)} {num(3)}", f"0{r.randint(1, 9)} {num(2)} {num(2)} {num(2)} {num(2)}", f"1-{num(3)}-{num(3)}-{num(4)}")),
+        "email": lambda: any_of(
+            lambda: f"{word()}.{word()} [at] {word()} [dot] {ending()}", lambda: f"{word()}(at){word()}(dot){ending()}", lambda: f"{word()} @ {word()}.{ending()}", lambda: f"{word()}{num(2)}[at]{word()}.{ending()}",
+            lambda: f"{word()} at {word()} dot {ending()}", lambda: f"{word()}{{at}}{word()}{{dot}}{ending()}", lambda: f"{word()}_{word()} At {word()} Dot {ending()}",
+        ),
+        "ip": lambda: any_of(
+            lambda: ":".join(group6() for _ in range(8)), lambda: f"2001:db8:{group6()}::{group6()}", lambda: f"{group6()}:{group6()}::", lambda: f"::{group6()}:{group6()}", lambda: ":".join(group6() for _ in range(8)).upper(),
+            lambda: ":".join(group6() for _ in range(r.randint(1, 4))) + "::" + ":".join(group6() for _ in range(r.randint(1, 3))),
+        ),
+        "card": lambda: any_of(
+            lambda: split4(card(16, True), r.choice("./")), lambda: split4(card(16, True), " ") + " " + num(3), lambda: card(16, True) + " " + card(16, True), lambda: (x := card(15, True)) and f"{x[:4]}/{x[4:10]}/{x[10:]}",
+            lambda: split4(card(16, True), "_"), lambda: (x := card(16, True)) and f"{x[:4]}-{x[4:8]}.{x[8:12]}-{x[12:]}",
+        ),
+        "phone": lambda: any_of(
+            lambda: f"({num(3)}) {num(3)}-{num(4)}", lambda: f"{r.choice('2345678')}{num(2)}-{num(3)}-{num(4)}", lambda: f"{num(3)}.{num(3)}.{num(4)}", lambda: f"0{num(3)} {num(6)}",
+            lambda: f"00{r.randint(30, 49)} {num(3)} {num(4)} {num(3)}", lambda: f"0{r.randint(1, 9)} {num(2)} {num(2)} {num(2)} {num(2)}", lambda: f"1-{num(3)}-{num(3)}-{num(4)}", lambda: f"0{num(2)}/{num(7)}", lambda: f"(0{num(2)}) {num(4)} {num(4)}",
+            lambda: f"{num(3)} {num(3)} {num(4)}", lambda: f"0{num(2)}-{num(8)}",
+        ),
     }
+    date = lambda: f"{r.randint(1900, 2030)}-{r.randint(1, 12):02d}-{r.randint(1, 28):02d}"
     bad = {
-        "email": lambda: r.choice((f"{word()} at {word()}. {word().title()}", f"look at {word()} . {word()}", f"{word()} at home. {word()}", f"{word()} at {word()} dot {word()}s")),
-        "ip": lambda: r.choice((f"{r.randint(0, 23):02d}:{num(2)}:{num(2)}", f"{r.randint(1, 99)}:{r.randint(1, 99)}:{r.randint(1, 99)}", f"a:b:c:{word()[:2]}")),
-        "card": lambda: r.choice((card(16, False), split4(card(16, False), r.choice(" -.")), num(13) + "x", "0" * 16, card(15, False), num(18))),
-        "phone": lambda: r.choice((f"{r.randint(1900, 2030)}-{r.randint(1, 12):02d}-{r.randint(1, 28):02d}", f"{num(2)}.{num(2)}.{r.randint(1900, 2030)}", f"{r.randint(1900, 2030)}-{r.randint(1, 12):02d}-{r.randint(1, 28):02d} {r.randint(0, 23):02d}:{num(2)}:{num(2)}", f"{num(3)} {num(3)}", f"{num(2)}/{num(2)}/{num(4)}", f"{num(3)}-{num(3)}", f"{r.randint(1900, 2020)}-{r.randint(1900, 2030)}", f"{num(2)} {num(2)} {num(2)}", f"{num(2)}.{num(3)}.{num(3)}", f"{num(3)}-{num(2)}-{num(5)}", f"{split4(card(16, False), ' ')}", f"{num(3)}.{num(3)}.{num(3)}.{num(3)}")),
+        "email": lambda: any_of(
+            lambda: f"{word()} at {word()}. {word().title()}", lambda: f"look at {word()} . {word()}", lambda: f"{word()} at home. {word()}", lambda: f"{word()} at {word()} dot {word()}s", lambda: f"{word()} At {word()}. {word().title()}",
+            lambda: f"{word()} at {word()}, {word()}.{word()}",
+        ),
+        "ip": lambda: any_of(
+            lambda: f"{r.randint(0, 23):02d}:{num(2)}:{num(2)}", lambda: f"{r.randint(1, 99)}:{r.randint(1, 99)}:{r.randint(1, 99)}", lambda: f"a:b:c:{word()[:2]}", lambda: ":".join(f"{r.randrange(256):02x}" for _ in range(6)),
+            lambda: f"{num(1)}:{num(2)}:{num(2)}:{num(2)}", lambda: f"{word()}::{word()}",
+        ),
+        "card": lambda: any_of(
+            lambda: card(16, False), lambda: split4(card(16, False), r.choice(" -./_")), lambda: num(13) + "x", lambda: card(15, False), lambda: num(18), lambda: split4("1" + num(15), "."), lambda: split4("9" + num(15), "/"),
+        ),
+        "phone": lambda: any_of(
+            date, lambda: f"{num(2)}.{num(2)}.{r.randint(1900, 2030)}", lambda: f"{date()} {r.randint(0, 23):02d}:{num(2)}:{num(2)}", lambda: f"{num(3)} {num(3)}", lambda: f"{num(2)}/{num(2)}/{num(4)}", lambda: f"{num(3)}-{num(3)}",
+            lambda: f"{r.randint(1900, 2020)}-{r.randint(1900, 2030)}", lambda: f"{num(2)} {num(2)} {num(2)}", lambda: f"{num(2)}.{num(3)}.{num(3)}", lambda: f"{num(3)}-{num(2)}-{num(5)}", lambda: split4(card(16, False), " "),
+            lambda: f"{num(3)}.{num(3)}.{num(3)}.{num(3)}", lambda: f"{num(4)} {num(4)}", lambda: f"{num(2)}.{num(2)}", lambda: f"{num(5)}-{num(4)}", lambda: f"{num(3)}/{num(2)}",
+        ),
     }
     out = []
     for k in range(rows):
@@ -266,7 +306,7 @@ def trained(spark: SparkSession) -> tuple:
         texts = training_texts(TRAINING_ROWS)
         frame = spark.createDataFrame([(k, t) for k, (t, _, _, _) in enumerate(texts)], "id int, text string")
         frame = _candidates(frame.withColumnRenamed("text", "_text"))
-        rows = frame.selectExpr("id", "explode(_more) AS m").selectExpr("id", "m.span.start", "m.span.end", "m.span.kind", *(f"m.f.{f}" for f in FEATURES)).collect()
+        rows = frame.selectExpr("id", f"explode(filter(_more, m -> {FREE})) AS m").selectExpr("id", "m.span.start", "m.span.end", "m.span.kind", *(f"m.f.{f}" for f in FEATURES)).collect()
         examples = []
         for row in sorted(rows, key=lambda x: (x["id"], x["kind"], x["start"])):
             _, kind, start, end = texts[row["id"]]
