@@ -545,6 +545,24 @@ def test_chats(spark):
     assert chat.read_chats(chat.format_chats(df.limit(0))).count() == 0
 
 
+def test_chats_by_given_tokens(spark):
+    """Counts from a column decide the windows; only a turn that is over the budget by itself makes a window that is."""
+    rows = [("system", 10), ("user", 30), ("assistant", 40), ("user", 500), ("assistant", None), ("user", 50), ("assistant", -5), ("user", 96)]
+    df = spark.createDataFrame([(1, k, role, f"漢字 {k}", n, "x", 0, "x") for k, (role, n) in enumerate(rows)], "conv_id bigint, turn bigint, role string, text string, n_tokens int, turns string, i int, heads string")
+    out = chat.format_chats(df, budget=100, history=40, tokens="n_tokens").orderBy("window").collect()
+    count = [max(0, n or 0) + chat.MARKS for _, n in rows]
+    seen = []
+    for w in out:
+        turns = [int(re.search(r"漢字 (\d+)", t)[1]) for t in w["text"].split("</s>\n")[:-1]]
+        new, repeated = turns[w["n_repeated"] :], turns[: w["n_repeated"]]
+        seen += new
+        assert sum(count[t] for t in turns) <= 100 or (len(new) == 1 and set(repeated) <= {0}), turns
+        assert sum(count[t] for t in repeated if t) <= 40
+    assert seen == list(range(len(rows)))
+    read = chat.read_chats(chat.format_chats(df, tokens="n_tokens")).first()
+    assert read["n_turns"] == 8 and read["loss_chars"] == 3 * len("漢字 0")
+
+
 # 9
 
 

@@ -3,14 +3,16 @@
 A conversation's turns are laid out in windows of at most ``budget`` tokens. Prefix sums of turn tokens choose spans of
 whole turns: a window repeats the system turn and the last turns before it (``history`` tokens of them at most), then
 takes new turns while the sum stays within the budget. A turn that is longer than a window's budget stands in a window
-of its own. Repeated turns are never trained on: the loss mask covers the new assistant texts only, so each counts once.
+of its own, after the system turn if there is one, and such windows are the only ones over the budget. A turn's tokens are
+those of a tokenizer where ``tokens`` names a column of counts, worked out upstream; without one, runs of A-Z, a-z and 0-9
+and every other character but white space count as one each. Repeated turns are never trained on: the loss mask covers the new assistant texts only, so each counts once.
 
 A turn is written ``<s>[role]`` newline text ``</s>`` newline. In roles and texts ``&``, ``<``, ``[`` and ``]`` become
 ``&amp;``, ``&lt;``, ``&#91;`` and ``&#93;``, so no control string of this or a similar template can come from a text, and
 undoing the four gives back exactly the text.
 
-Cases: null text or role is empty; turns are in order of turn, role, text, nulls first, and repeated rows stay; a null
-conv_id is one conversation; empty tables give no rows; extra columns are ignored. One conversation is one training
+Cases: null text or role is empty, a null or negative count of tokens is 0; turns are in order of turn, role, text, nulls first, and repeated rows stay; a null
+conv_id is one conversation; empty tables give no rows; extra columns are ignored, whatever their names. One conversation is one training
 example and its digest covers it all, hence its rows meet in one task; nothing gathers more than one conversation.
 """
 
@@ -36,13 +38,18 @@ def unescape(c: Column) -> Column:
     return c
 
 
-def format_chats(df: DataFrame, budget: int = 512, history: int = 128) -> DataFrame:
+#: Tokens that the marks around a turn count as.
+MARKS = 4
+
+
+def format_chats(df: DataFrame, budget: int = 512, history: int = 128, tokens: str | None = None) -> DataFrame:
     """Return conv_id, window (from 0), n_repeated (turns that the window repeats), text and loss_spans.
 
     loss_spans: (start, end) in code points of the window's text, end exclusive.
     """
     text, role = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("text", "role"))
-    turn = F.struct(F.col("turn"), role.alias("role"), text.alias("text"), F.expr(f"CAST(regexp_count(coalesce(CAST(text AS STRING), ''), '{TOKEN.replace(chr(92), chr(92) * 2)}') + 4 AS BIGINT)").alias("tokens"))
+    own = F.regexp_count(text, F.lit(TOKEN)) if tokens is None else F.greatest(F.coalesce(F.col(tokens).cast("bigint"), F.lit(0)), F.lit(0))
+    turn = F.struct(F.col("turn"), role.alias("role"), text.alias("text"), (own + F.lit(MARKS)).cast("bigint").alias("tokens"))
     convs = df.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
     convs = convs.withColumn("lead", F.when(F.col("turns")[0]["role"] == "system", 1).otherwise(0))
 
