@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from weblathe.llm import chat, html_text, licences, neardup, neighbours, oracle, packing, pieces, pii, quality, queries, sharding
 from weblathe.llm.common import Scratch, table
@@ -680,12 +681,75 @@ def test_queries_on_empty_tables(spark, tmp_path):
         assert query(spark, str(tmp_path)).count() == (1 if name.startswith("op8") else 0), name
 
 
-def test_pipeline(spark):
+def test_repeated_rows_get_equal_results(spark):
+    rows = [(1, "one two three. " * 40), (2, None), (3, "漢字 a@b.co +49 30 1234567 " * 3)]
+    for run in (lambda d: pieces.digest(pieces.encode_and_decode(d)), quality.judge, pii.report):
+        once = sorted(map(str, run(documents(spark, rows)).collect()))
+        assert sorted(map(str, run(documents(spark, rows * 3)).collect())) == sorted(once * 3)
+    page = [(1, "u", "<article><h1>T</h1><p>Some words in a page.</p></article>", "x", "x"), (2, None, None, "x", "x")]
+    df = spark.createDataFrame(page * 3, "page_id bigint, url string, html string, text string, n_chars string")
+    out = [tuple(r) for r in html_text.extract(df).collect()]
+    assert len(out) == 6 and len(set(out)) == 2 and html_text.extract(df).columns == ["page_id", "url", "text", "n_chars"]
+
+
+def test_stages_on_empty_tables(spark):
+    import corpus_pipeline
+
+    empty = documents(spark, [(1, "x")]).limit(0)
+    for stage in (quality.keep_good, neardup.drop_copies, pii.redact_documents):
+        out = stage(empty)
+        assert out.count() == 0 and out.columns == empty.columns
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["quality", "near_dedup", "pii", "packing"]
+
+
+def _redacted(text, spans):
+    """Spans that overlap go as one, named after the first."""
+    parts, at = [], 0
+    joined: list[list] = []
+    for kind, start, end in ((k, int(a), int(b)) for k, a, b in (x.split(":") for x in spans.split(",") if x)):
+        if joined and start < joined[-1][2]:
+            joined[-1][2] = max(joined[-1][2], end)
+        else:
+            joined.append([kind, start, end])
+    for kind, start, end in joined:
+        parts += [text[at:start], f"[{kind.upper()}]"]
+        at = end
+    return "".join([*parts, text[at:]])
+
+
+def test_pipeline(spark, tmp_path):
+    """The pieces of every document that stays, from its redacted text, with hard rows beside those of the table."""
     import corpus_pipeline
+    import public_tokenizers
+    from tokenizers import Tokenizer
 
-    out = corpus_pipeline.run(spark, DATA).collect()
-    docs = {r["doc_id"]: r["text"] for r in table(spark, DATA, "documents").collect()}
-    good = {r["doc_id"] for r in quality.judge(table(spark, DATA, "documents")).collect() if r["kept"]}
-    groups = _components([(k, docs[k]) for k in good])
-    assert {r["doc_id"] for r in out} == {k for k in good if groups[k][1] == k}
-    assert len(corpus_pipeline.STAGES) == 4
+    base = table(spark, DATA, "documents")
+    some = base.first()["text"]
+    long = "the stone of the river and the market of a town is old. " * 3
+    hard = [(20_001, None), (20_002, ""), (20_003, long + "mail a@b.co or +1 (743) 555-3824 now"), (20_003, long + "mail a@b.co or +1 (743) 555-3824 now"), (20_004, some), (20_005, " ".join(f"w{k}" for k in range(9_000)))]
+    more = spark.createDataFrame([(k, t, "en", "x", len(t or ""), 1) for k, t in hard], "doc_id bigint, text string, lang string, source string, n_chars bigint, _votes int")
+    whole = base.withColumn("_votes", F.lit(0)).unionByName(more)
+    whole.write.parquet(str(tmp_path / "documents.parquet"))
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    rows = [(r["doc_id"], r["text"]) for r in whole.collect()]
+    good = {r["doc_id"] for r in quality.judge(whole).collect() if r["kept"]}
+    docs = {k: t for k, t in rows if k in good}
+    groups = _components(list(docs.items()))
+    docs = {k: t for k, t in docs.items() if groups[k][1] == k}
+    assert {r["doc_id"] for r in out} == set(docs)
+    spans = {r["doc_id"]: r["spans"] for r in pii.report(documents(spark, list(docs.items()))).collect()}
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    by, sequences = defaultdict(list), defaultdict(int)
+    for row in out:
+        by[row["doc_id"]].append(row)
+    for k, text in docs.items():
+        ids, at = [*library.encode(_redacted(text or "", spans[k]), add_special_tokens=False).ids, 2], 0
+        for n, row in enumerate(sorted(by[k], key=lambda r: r["piece"])):
+            own = np.array(ids[at : at + row["length"]], "<u4").tobytes()
+            assert (row["piece"], row["start"], row["ids_crc32"]) == (n, at, zlib.crc32(own))
+            at += row["length"]
+        assert at == len(ids), k
+    for row in sorted(out, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert row["offset"] == sequences[row["sequence_id"]]
+        sequences[row["sequence_id"]] += row["length"]
+    assert max(sequences.values()) <= 1024
