@@ -37,6 +37,8 @@ PARTITIONS, LEAF, DEGREE, SAMPLE, OFFERS, SETTLED = 16, 800, 32, 16, 12, 0.01
 BEAM, SEEN, RESCORED = 256, 2048, 96
 #: A hop expands this part of a beam.
 PART = 4
+#: Members whose offers leave a Python worker at once.
+FLUSH = 8192
 #: Rows of a block of ``exact``.
 BLOCK = 2048
 #: Vectors up to which BEAM and SEEN suffice as they are; each doubling beyond adds a quarter of them.
@@ -91,21 +93,24 @@ def _blocks(groups: DataFrame, most: int, floor: bool) -> DataFrame:
     A row has ``m``: a list of (id, q, scale) and, with ``floor``, worst: offers below it are left out.
     """
 
+    def offers(ids: list, offsets: list[int], scores: list, others: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(ids), pa.int64()), _struct_list(offsets, np.concatenate(scores), np.concatenate(others))], names=["id", "near"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             members, ids, offsets, scores, others = batch.column(0), [], [0], [], []
             for k in range(len(members)):
                 m = members[k].values
                 own = m.field("id").to_numpy()
+                n = min(most, len(own) - 1)
+                if n < 1:
+                    continue
                 x, scale = _matrix(m.field("q")), m.field("scale").to_numpy()
                 # whole products: a pair gets the same score in every block and in both directions
                 s = (x @ x.T).astype(np.float32) * np.outer(scale, scale)
                 np.fill_diagonal(s, -np.inf)
                 if floor:
                     s[s <= m.field("worst").to_numpy()[:, None]] = -np.inf
-                n = min(most, len(own) - 1)
-                if n < 1:
-                    continue
                 best = np.argpartition(-s, n - 1, axis=1)[:, :n]
                 value = np.take_along_axis(s, best, 1)
                 good = value > -np.inf
@@ -113,8 +118,12 @@ def _blocks(groups: DataFrame, most: int, floor: bool) -> DataFrame:
                 offsets += (offsets[-1] + np.cumsum(good.sum(1))).tolist()
                 scores.append(value[good])
                 others.append(own[best][good])
-            join = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
-            yield pa.RecordBatch.from_arrays([pa.array(join(ids, np.int64), pa.int64()), _struct_list(offsets, join(scores, np.float32), join(others, np.int64))], names=["id", "near"])
+                if len(offsets) > FLUSH:
+                    # a member takes little room as it comes and much with its offers
+                    yield offers(ids, offsets, scores, others)
+                    ids, offsets, scores, others = [], [0], [], []
+            if ids:
+                yield offers(ids, offsets, scores, others)
 
     return groups.mapInArrow(run, f"id bigint, near {NEIGHBOURS}")
 
