@@ -33,8 +33,9 @@ def base(tmp_path_factory, spark):
         f.write(rows[0])
     counts = stages.process(spark, str(path))
     assert (counts["total_lines"], counts["failed_lines"], counts["open_url_ignores"]) == (62, 2, 1)
+    assert [(r["value"], r["reason"]) for r in spark.read.parquet(f"{path}/quarantine").collect()] == [("junk", "malformed")]
     stages.aggregate(spark, str(path))
-    stages.analyze(spark, str(path))
+    stages.analyze(spark, str(path), domains=("doi.org", "unknown.special"))
     stages.distribute(spark, str(path))
     return str(path)
 
@@ -49,12 +50,29 @@ def test_records(spark, base):
 
 def test_months_are_not_written_twice(spark, base):
     before = logs.read_records(spark, f"{base}/processed").count()
-    stages.process(spark, base)
+    assert stages.process(spark, base)["stored_skips"] == 60
     stages.aggregate(spark, base)
     assert logs.read_records(spark, f"{base}/processed").count() == before
     assert spark.read.parquet(f"{base}/aggregated/day-all").agg(F.sum("count")).first()[0] == before
 
 
+def test_stored_months_are_pruned(spark, base, tmp_path):
+    """A second run reads the folders of new months only, and gives what one run over everything gives."""
+    records = logs.read_records(spark, f"{base}/processed")
+    first, every = records.filter("year_month = '2015-01'"), str(tmp_path / "every")
+    logs.write_records(first, str(tmp_path / "processed"))
+    stages.aggregate(spark, str(tmp_path), cutoff=2)
+    logs.write_records(records, str(tmp_path / "processed"))
+    plan = stages.fresh_identifiers(logs.read_records(spark, str(tmp_path / "processed")), f"{tmp_path}/aggregated/month-doi", 2)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan and "2015-01" in plan.split("PartitionFilters")[1]
+    stages.aggregate(spark, str(tmp_path), cutoff=2)
+    records.write.partitionBy("year_month").parquet(f"{every}/processed")
+    stages.aggregate(spark, every, cutoff=2)
+    for name in metrics.METRICS:
+        twice, once = (sorted(map(str, spark.read.parquet(f"{p}/aggregated/{name}").collect())) for p in (str(tmp_path), every))
+        assert twice == once and twice
+
+
 def test_months_are_sums_of_days(spark, base):
     days, months = (spark.read.parquet(f"{base}/aggregated/{g}-domain").groupBy("key").agg(F.sum("count").alias("n")).collect() for g in ("day", "month"))
     assert sorted(days) == sorted(months)
@@ -91,6 +109,40 @@ def test_chunk_round_trip(spark, tmp_path):
         chunks.write_chunks(spark.createDataFrame([("", "2015-01-01", 1)], df.schema), str(tmp_path / "d"))
 
 
+def test_hot_keys_become_several_chunks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(chunks, "HOT", 50)
+    rows = [("hot", f"{2000 + k // 12}-{1 + k % 12:02d}-01", k) for k in range(300)] + [("b", "2015-01-01", 1), ("a", "2015-01-01", 2)]
+    df = spark.createDataFrame(rows, "key string, date string, count bigint")
+    chunks.write_chunks(df, str(tmp_path / "c"))
+    assert sorted(map(tuple, chunks.read_counts(spark, str(tmp_path / "c")).collect())) == sorted(rows)
+    lines = [r["value"] for r in spark.read.text(str(tmp_path / "c")).collect()]
+    assert lines.count("hot") == 300 and lines.count("a") == 1
+    chunks.write_buckets(df, str(tmp_path / "d"), 3)
+    assert sorted(map(tuple, chunks.read_counts(spark, str(tmp_path / "d")).collect())) == sorted(rows)
+
+
+def test_dates_in_any_session_zone(spark):
+    from weblathe.functions import dates
+
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for own in ("UTC", "America/New_York", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", own)
+            ts = dates.parse_date(F.col("d"), check_weekday=True)
+            df = spark.createDataFrame([("2016-01-05 23:55:23.962-0500",), ("Tue Jan 05 20:55:23 EST 2016",), ("1969-12-31 23:00:00.000Z",), ("x",)], "d string")
+            assert [tuple(r) for r in df.select(dates.day(ts), dates.year_month(ts)).collect()] == [("2016-01-06", "2016-01"), ("2016-01-06", "2016-01"), ("1969-12-31", "1969-12"), (None, None)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_layouts_are_broadcast(spark, base):
+    """Raw lines are not shuffled by file."""
+    from weblathe.functions import lines
+
+    plan = lines.parse_lines(logs.read_logs(spark, f"{base}/logs"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in plan
+
+
 def test_record_text_round_trip(spark, tmp_path, base):
     logs.write_record_text(logs.read_records(spark, f"{base}/processed").limit(5), str(tmp_path / "t"))
     assert spark.read.text(str(tmp_path / "t")).count() == 5
@@ -121,7 +173,7 @@ def test_top_n_ties_go_by_name(spark):
 
 def test_filter_files_and_unmatched_hosts(spark, tmp_path):
     (tmp_path / "list.txt").write_text("Example.COM\n")
-    flt = ListedDomains.build(spark, FALLBACK_RULES, (str(tmp_path / "list.txt"), str(tmp_path / "none.txt")))
+    flt = ListedDomains.build(spark, FALLBACK_RULES, domains=("doi.org", "unknown.special"), files=(str(tmp_path / "list.txt"), str(tmp_path / "none.txt")))
     df = spark.createDataFrame([(k,) for k in ("a.example.com", "EXAMPLE.com", "wiki", "local.special", "unknown.special", "x.org")], "key string")
     assert {r["key"] for r in flt.keep(df, "key").collect()} == {"wiki", "local.special", "x.org"}
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import formats as f
+from .lines import BETWEEN
 
 # Schemes that count as URLs; prefixes that stand for known programs.
 SCHEMES = ("http", "https", "ftp", "file", "mailto", "jar", "jrt", "jmod")
@@ -17,27 +18,45 @@ PREFIXES = (("app:/readcube.swf", "readcube.special"), ("app:/library.swf", f.UN
 
 
 #: Scheme, authority (after two slashes, but not four) and path; query and fragment are cut off.
-URL = r"^(?s)\s*(?i:url:)?([A-Za-z][A-Za-z0-9.+-]*):(?://(?!//)([^/?#]*))?([^?#]*)"
+URL = r"^(?s)\s*(?i:url:)?([A-Za-z][A-Za-z0-9.+-]*):(?://(?!//)([^/?#]*))?([^?#]*).*$"
 #: Host (bracketed or up to a colon) and what follows it, after user information.
-AUTHORITY = r"^(?:[^@]*@)?(\[[^\]]*\]|[^:\[]*)(.*)$"
+AUTHORITY = r"^(?s)(?:[^@]*@)?(\[[^\]]*\]|[^:\[]*)(.*)$"
 
 
 def lenient_url(df: DataFrame, source: str, out: str) -> DataFrame:
-    """Add ``out``: a struct (scheme, host, path) of the URL in column ``source``, null where it is malformed."""
-    df = df.withColumns({f"_u{k}": F.regexp_extract(F.rtrim(F.col(source)), URL, k) for k in (1, 2, 3)})
-    many = F.col("_u2").rlike("@.*@")
-    host = F.when(many, "").otherwise(F.regexp_extract("_u2", AUTHORITY, 1))
-    good_port = many | F.regexp_extract("_u2", AUTHORITY, 2).rlike(r"^(?::(?:\+?[0-9]{1,9})?)?$")
-    scheme = F.lower("_u1")
-    good = scheme.isin(*SCHEMES) & good_port & ((scheme != "jar") | F.contains("_u3", F.lit("!/")))
-    struct = F.struct(scheme.alias("scheme"), host.alias("host"), F.col("_u3").alias("path"))
-    return df.withColumn(out, F.when(good, struct)).drop("_u1", "_u2", "_u3")
+    """Add ``out``: a struct (scheme, host, path) of the URL in column ``source``, null where it is malformed or null.
+
+    Each pattern runs once; a URL that does not fit stays in one part.
+    """
+    df = df.withColumn("_u", F.split(F.regexp_replace(F.rtrim(F.col(source)), URL, f"$1{BETWEEN}$2{BETWEEN}$3"), BETWEEN))
+    authority, path = F.get("_u", F.lit(1)), F.get("_u", F.lit(2))
+    # most authorities are plain names
+    plain = ~authority.rlike(r"[@:\[]")
+    df = df.withColumn("_v", F.when((F.size("_u") == 3) & ~plain, F.split(F.regexp_replace(authority, AUTHORITY, f"$1{BETWEEN}$2"), BETWEEN)))
+    many = authority.rlike("@.*@")
+    host = F.when(plain, authority).when(many, "").otherwise(F.get("_v", F.lit(0)))
+    good_port = plain | many | F.get("_v", F.lit(1)).rlike(r"^(?::(?:\+?[0-9]{1,9})?)?$")
+    scheme = F.lower(F.get("_u", F.lit(0)))
+    good = (F.size("_u") == 3) & scheme.isin(*SCHEMES) & good_port & ((scheme != "jar") | F.contains(path, F.lit("!/")))
+    struct = F.struct(scheme.alias("scheme"), host.alias("host"), path.alias("path"))
+    return df.withColumn(out, F.when(good, struct)).drop("_u", "_v")
+
+
+def settled(df: DataFrame, done: str) -> DataFrame:
+    """The fields of struct ``done`` as columns, through a generator of one row.
+
+    Filters above would else be pushed below and repeat the whole of the parsing, up to code that does not compile.
+    """
+    fields = df.schema[done].dataType.names
+    return df.select(*(c for c in df.columns if c not in (done, *fields)), F.inline(F.array(F.col(done))))
 
 
 def clean(referrer: Column) -> Column:
     """Strip a copied header name, and whatever stands before the first http(s) URL."""
-    r = F.when(F.startswith(referrer, F.lit("Referer:")), F.regexp_replace(referrer, "Referer: *", "")).when(F.startswith(referrer, F.lit("REFERER:")), F.regexp_replace(referrer, "REFERER: *", "")).otherwise(referrer)
-    return F.regexp_replace(r, "^.*?(https?://.*)$", "$1")
+    r = referrer
+    for name in ("Referer:", "REFERER:"):
+        r = F.when(F.startswith(referrer, F.lit(name)), F.regexp_replace(referrer, f"{name} *", "")).otherwise(r)
+    return F.when(r.rlike("^https?://"), r).otherwise(F.regexp_replace(r, "^.*?(https?://.*)$", "$1"))
 
 
 def parse_referrer(df: DataFrame, referrer: str = "referrer", compat: bool = False) -> DataFrame:
@@ -54,7 +73,8 @@ def parse_referrer(df: DataFrame, referrer: str = "referrer", compat: bool = Fal
     if compat:
         df = df.withColumn("_r", F.when(F.col("_weird").isNotNull(), F.concat(F.lit("weird://"), "_weird")).otherwise(F.col("_r"))).withColumn("_weird", F.lit(None).cast("string"))
     df = lenient_url(df, "_r", "_url")
-    df = lenient_url(df.withColumn("_again", F.concat(F.lit("http://"), "_r")), "_again", "_retry")
+    # only what is no URL is tried again
+    df = lenient_url(df.withColumn("_again", F.when(F.col("_url").isNull() & F.col("_weird").isNull(), F.concat(F.lit("http://"), "_r"))), "_again", "_retry")
     row = lambda code, host, path="": F.struct(F.lit(code).alias("code"), (F.lit(host) if isinstance(host, str) else host).alias("host"), (F.lit(path) if isinstance(path, str) else path).alias("path"))
     scheme, url, retry, r = F.col("_url.scheme"), F.col("_url"), F.col("_retry"), F.col("_r")
     answer = (
@@ -78,4 +98,5 @@ def parse_referrer(df: DataFrame, referrer: str = "referrer", compat: bool = Fal
     # never an empty host
     code = F.when(F.col("_a.host") == "", F.lit(f.UNKNOWN)).otherwise(F.col("_a.code"))
     host = F.when(F.col("_a.host") == "", F.lit(f.UNKNOWN_DOMAIN)).otherwise(F.col("_a.host"))
-    return df.withColumns({"code": code, "host": host, "path": F.col("_a.path")}).drop("_raw", "_r", "_weird", "_url", "_again", "_retry", "_a")
+    df = df.withColumn("_done", F.struct(code.alias("code"), host.alias("host"), F.col("_a.path").alias("path")))
+    return settled(df.drop("_raw", "_r", "_weird", "_url", "_again", "_retry", "_a"), "_done")

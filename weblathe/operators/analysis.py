@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from ..functions.formats import CODES
 
 
-def series(counts: DataFrame, filter_=None) -> DataFrame:
-    """key, date, count of all periods; empty keys have no series. Periods that came twice count once."""
+def series(counts: DataFrame, filter_=None, repeated: bool = False) -> DataFrame:
+    """key, date, count of all periods; empty keys have no series. ``repeated``: periods may come twice, and count once."""
     kept = counts.filter("key <> ''")
-    return (filter_.keep(kept, "key") if filter_ else kept).select("key", "date", "count").distinct()
+    kept = (filter_.keep(kept, "key") if filter_ else kept).select("key", "date", "count")
+    return kept.distinct() if repeated else kept
 
 
 def grouped(pairs: DataFrame, filter_=None) -> DataFrame:
@@ -37,25 +38,25 @@ def top_names(counts: DataFrame, n: int) -> DataFrame:
     return counts.join(names, "key", "left_semi").groupBy("key").agg(F.sum("count").alias("total"))
 
 
-def _header(counts: DataFrame, n: int) -> list[str]:
-    """Top names by descending total, then name: a table's header, at most n for each date."""
-    return [r["key"] for r in top_names(counts, n).orderBy(F.desc("total"), "key").collect()]
-
-
 def top_n(counts: DataFrame, n: int) -> DataFrame:
-    """date, key, count for every date and every top name, 0 where it has none."""
-    counts = counts.persist()  # read for the header and again for the cells
-    cells = counts.select("date").distinct().select("date", F.explode(F.lit(_header(counts, n)).cast("array<string>")).alias("key"))
-    return cells.join(counts, ["date", "key"], "left").select("date", "key", F.coalesce("count", F.lit(0)).cast("bigint").alias("count"))
+    """date, key, count for every date and every top name, 0 where it has none. Nothing runs before the result is read."""
+    kept = counts.join(top_names(counts, n).select("key"), "key", "left_semi")
+    by_key = kept.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("date", "count"))).alias("_counts"))
+    # one row: the dates, of which a table has few
+    dates = counts.select("date").distinct().agg(F.collect_list("date").alias("_dates"))
+    cells = by_key.join(F.broadcast(dates)).select("key", "_counts", F.explode("_dates").alias("date"))
+    return cells.select("date", "key", F.coalesce(F.col("_counts")[F.col("date")], F.lit(0)).cast("bigint").alias("count"))
 
 
 def top_n_table(counts: DataFrame, n: int) -> DataFrame:
-    """Date and one column for each top name, by descending total then name; the names are the table's header."""
-    counts = counts.persist()  # read for the header and again for the cells
-    names = _header(counts, n)
+    """Date and one column for each top name, by descending total then name.
+
+    The names are the table's header, so finding them is a job of its own; ``counts`` should be a stored table.
+    """
+    names = [r["key"] for r in top_names(counts, n).orderBy(F.desc("total"), "key").collect()]
     dates = counts.select(F.col("date").alias("Date")).distinct()
     if not names:
         return dates.orderBy("Date")
-    led = counts.filter(F.col("key").isin(*names)) if len(names) <= 1000 else counts
+    led = counts.join(top_names(counts, n).select("key"), "key", "left_semi")
     wide = led.groupBy(F.col("date").alias("Date")).pivot("key", names).agg(F.sum("count"))
     return dates.join(wide, "Date", "left").na.fill(0).orderBy("Date")

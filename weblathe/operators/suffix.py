@@ -13,6 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.referrer import settled
+
 #: A small rule set for use without a list of one's own.
 FALLBACK_RULES = ("com", "org", "net", "edu", "gov", "int", "mil", "info", "biz", "io", "it", "ly", "de", "fr", "es", "br", "com.br", "uk", "co.uk", "ac.uk", "org.uk", "jp", "co.jp", "ac.jp", "cn", "com.cn", "au", "com.au", "ca", "nl", "eu", "ru", "in", "ch", "se", "be", "at", "pl", "pt")
 #: More nodes than this are no list of public suffixes, and too many to broadcast.
@@ -75,7 +77,7 @@ def with_domain(df: DataFrame, rules: SuffixRules, host: str = "host", strip_dot
     last = lambda extra: F.expr(f"array_join(slice(_labels, _n - _k + {1 - extra}, _k + {extra}), '.')")
     df = df.withColumn("domain", F.when(found, last(1)).otherwise(F.lit("")))
     sub = F.expr("left(full_domain, length(full_domain) - length(domain) - 1)")
-    df = df.withColumn("subdomains", F.when(found & (F.length("full_domain") > F.length("domain") + 1), sub).otherwise(F.lit("")))
-    if keep_suffix:
-        df = df.withColumn("suffix", F.when(found, last(0)))
-    return df.drop("_labels", "_n", "_depth", "_stop", "_k", "_leaf", *taken)
+    subdomains = F.when(found & (F.length("full_domain") > F.length("domain") + 1), sub).otherwise(F.lit(""))
+    suffix = [F.when(found, last(0)).alias("suffix")] if keep_suffix else []
+    df = df.withColumn("_done", F.struct(F.col("full_domain"), subdomains.alias("subdomains"), F.col("domain"), *suffix))
+    return settled(df.drop("_labels", "_n", "_depth", "_stop", "_k", "_leaf", *taken), "_done")

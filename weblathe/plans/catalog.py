@@ -13,12 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates
+from ..functions.formats import FILTERED_DOMAINS, RECORD_COLUMNS
 from ..functions.referrer import parse_referrer
 from ..operators import analysis, metrics
 from ..operators.filters import ListedDomains
 from ..operators.suffix import FALLBACK_RULES, SuffixRules, with_domain
-from ..sources import chunks
-from . import goldens
+from ..sources import chunks, logs, staging
+from . import goldens, stages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,9 +28,16 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """A table of fewer splits than cores, dealt over the cores; a larger one stays as it is, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def surrogate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """date, doi, referrer."""
-    events, pages = _read(spark, sf_dir, "events"), _read(spark, sf_dir, "pages").select("page_id", "url")
+    events = _spread(_read(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type"))
+    pages = _read(spark, sf_dir, "pages").select("page_id", "url")
     n = pages.count()
     joined = events.join(pages, F.pmod("event_id", F.lit(n)) == F.col("page_id"))
     referrer = F.when(F.col("event_type") == "error", F.lit("")).otherwise(F.col("url"))
@@ -46,7 +54,7 @@ def base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def listed(spark: SparkSession) -> ListedDomains:
-    return ListedDomains.build(spark, FALLBACK_RULES, domains=("doi.org", "crossref.org", "unknown.special", "example.net"))
+    return ListedDomains.build(spark, FALLBACK_RULES, domains=(*FILTERED_DOMAINS, "doi.org", "example.net"))
 
 
 def _counts(key: str, grain: str) -> Query:
@@ -62,7 +70,23 @@ def _top(key: str, grain: str, n: int, filtered: bool) -> Query:
 
 def top_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship: top full domains by day, wide."""
-    return analysis.top_n_table(analysis.series(metrics.by_key(base(spark, sf_dir), "full_domain", "day")), 10)
+    counts = staging.store(analysis.series(metrics.by_key(base(spark, sf_dir), "full_domain", "day")), f"{staging.folder(spark)}/counts")
+    return analysis.top_n_table(counts, 10)
+
+
+def _wide(key: str, grain: str, n: int, filtered: bool) -> Query:
+    """A wide table as its CSV file has it: Date, place of the column (from 1), key and count."""
+
+    def query(s: SparkSession, d: str) -> DataFrame:
+        path = staging.folder(s)
+        counts = staging.store(analysis.series(metrics.by_key(base(s, d), key, grain), listed(s) if filtered else None), f"{path}/counts")
+        chunks.write_table(analysis.top_n_table(counts, n), f"{path}/table.csv")
+        table = s.read.option("header", True).csv(f"{path}/table.csv")
+        names = table.columns[1:]
+        cells = [F.struct(F.lit(k).alias("place"), F.lit(name).alias("key"), F.col(f"`{name}`").cast("bigint").alias("count")) for k, name in enumerate(names, 1)]
+        return table.select("Date", F.inline(F.array(*cells)))
+
+    return query
 
 
 def _code_table(grain: str) -> Query:
@@ -77,20 +101,81 @@ def _bucket(key: str, hash_chars: int) -> Query:
     return query
 
 
+def _month_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.by_key(base(spark, sf_dir), "domain", "month").filter("key <> ''")
+
+
 def chunk_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Monthly domain counts, written as chunk text and decoded again, in memory."""
-    text = chunks.chunk_rows(metrics.by_key(base(spark, sf_dir), "domain", "month").filter("key <> ''"), "key", "date", "count")
-    parts = text.select(F.filter(F.split("value", "\n"), lambda x: x != "").alias("p"))
-    fields = parts.select(F.col("p")[0].alias("key"), F.explode(F.slice("p", 2, F.size("p") - 1)).alias("line")).withColumn("f", F.split("line", ","))
-    return fields.select("key", F.col("f")[0].alias("date"), F.col("f")[1].cast("bigint").alias("count"))
+    """Monthly domain counts, written as chunk files and read again."""
+    path = staging.folder(spark)
+    chunks.write_chunks(_month_domains(spark, sf_dir), path)
+    return chunks.read_counts(spark, path, ".*[.]txt")
+
+
+def grouped_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The full domains of each domain, written as chunk files and read again."""
+    path = staging.folder(spark)
+    chunks.write_chunks(analysis.grouped(metrics.grouped_full_domains(base(spark, sf_dir))), path, "domain", ("full_domain",))
+    return chunks.read_chunks(spark, path).select(F.col("key").alias("domain"), F.col("line").alias("full_domain"))
+
+
+def plain_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily counts as a file of plain lines: their place in the file and their text."""
+    path = staging.folder(spark)
+    chunks.write_counts(metrics.all_counts(base(spark, sf_dir), "day"), path)
+    lines = spark.read.text(path).coalesce(1).select(F.monotonically_increasing_id().alias("_n"), "value")
+    return lines.select((F.expr("row_number() OVER (ORDER BY _n)") - 1).cast("bigint").alias("place"), "value")
+
+
+def bucket_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly domain counts, dealt into bucket folders and read again, with the folder that each was found in."""
+    path = staging.folder(spark)
+    chunks.write_buckets(_month_domains(spark, sf_dir), path, 3)
+    buckets = spark.read.option("lineSep", "\n\n").text(path).select(F.regexp_extract("_metadata.file_path", "bucket=([^/]*)", 1).alias("bucket"), F.explode(chunks.parsed("value")).alias("p"))
+    return buckets.select("p.key", "p.line", "bucket")
+
+
+def copied_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The monthly code table as a CSV file, copied over an older copy."""
+    path = staging.folder(spark)
+    chunks.write_table(_code_table("day")(spark, sf_dir), f"{path}/old.csv")
+    chunks.write_table(_code_table("month")(spark, sf_dir), f"{path}/new.csv")
+    chunks.copy(spark, f"{path}/old.csv", f"{path}/out.csv")
+    chunks.copy(spark, f"{path}/new.csv", f"{path}/out.csv")
+    table = spark.read.option("header", True).csv(f"{path}/out.csv")
+    return table.select("Date", *(F.col(c).cast("bigint").alias(c) for c in table.columns[1:]))
+
+
+def _order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as records of several years: dates, customers as identifiers, priorities as domains."""
+    orders, none = _read(spark, sf_dir, "orders"), F.lit("")
+    domain = F.concat(F.lower(F.regexp_extract("o_orderpriority", "([A-Z]+)", 1)), F.lit(".example.com"))
+    date = F.date_format("o_orderdate", "yyyy-MM-dd")
+    doi = F.concat(F.lit("10.5555/"), F.col("o_custkey").cast("string"))
+    return orders.select(date.alias("date"), doi.alias("doi"), F.lit("H").alias("code"), domain.alias("full_domain"), none.alias("subdomains"), domain.alias("domain"), none.alias("path"), F.substring(date, 1, 7).alias("year_month"), "o_orderkey")
 
 
 def incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders of months that are not stored yet, counted by month; the stored months are those of 1995 and before."""
-    orders = _read(spark, sf_dir, "orders").select(F.date_format("o_orderdate", "yyyy-MM").alias("year_month"))
-    stored = orders.filter("year_month < '1996-01'").distinct()
-    fresh = orders.join(stored, "year_month", "left_anti")
-    return fresh.groupBy("year_month").agg(F.count(F.lit(1)).alias("count"))
+    """Records by month, written twice: months of 1995 and before with even keys only, then all; stored months stay as they are."""
+    path, records = staging.folder(spark), _order_records(spark, sf_dir)
+    logs.write_records(records.filter("year_month < '1996-01' AND o_orderkey % 2 = 0"), path)
+    logs.write_records(records, path)
+    return logs.read_records(spark, path).groupBy("year_month").agg(F.count(F.lit(1)).alias("count"))
+
+
+def _aggregated_twice(metric: str) -> Query:
+    """The aggregate stage over even keys of 1995 and before, then over all records; months that it holds are not counted again."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path, records = staging.folder(spark), _order_records(spark, sf_dir)
+        logs.write_records(records.filter("year_month < '1996-01' AND o_orderkey % 2 = 0"), f"{path}/processed")
+        stages.aggregate(spark, path, 2, (metric,))
+        records.filter("year_month < '1996-01'").select(*RECORD_COLUMNS, "year_month").write.mode("overwrite").partitionBy("year_month").parquet(f"{path}/processed")
+        logs.write_records(records, f"{path}/processed")
+        stages.aggregate(spark, path, 2, (metric,))
+        return spark.read.parquet(f"{path}/aggregated/{metric}").drop("year_month")
+
+    return query
 
 
 def order_months(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,6 +214,26 @@ QUERIES: dict[str, Query] = {
     "chunk_bucket_fulldomain": _bucket("full_domain", 4),
     "chunk_bucket_doi": _bucket("doi", 5),
     "chunk_roundtrip": chunk_roundtrip,
+    "chunk_roundtrip_grouped": grouped_chunks,
+    "chunk_pattern": goldens.chunk_pattern,
+    "plain_counts_file": plain_counts,
+    "bucket_files": bucket_files,
+    "copied_table": copied_table,
+    "fulldomain_unfiltered_month": lambda s, d: analysis.series(metrics.by_key(base(s, d), "full_domain", "month")),
+    "grouped_fulldomain_unfiltered": lambda s, d: analysis.grouped(metrics.grouped_full_domains(base(s, d))),
+    "wide_topn_domain_day_10": _wide("domain", "day", 10, False),
+    "wide_topn_domain_month_10_filtered": _wide("domain", "month", 10, True),
+    "wide_topn_domain_month_100": _wide("domain", "month", 100, False),
+    "wide_topn_fulldomain_day_3": _wide("full_domain", "day", 3, False),
+    "topn_domain_month_100_long": _top("domain", "month", 100, False),
+    "log_files": goldens.log_files,
+    "process_counters": goldens.process_counters,
+    "process_records": goldens.process_records,
+    "quarantined_lines": goldens.quarantined_lines,
+    "record_text_roundtrip": goldens.record_text_roundtrip,
+    "suffix_list_file": goldens.suffix_list_file,
+    "aggregate_incremental_all": _aggregated_twice("month-all"),
+    "aggregate_incremental_doi": _aggregated_twice("month-doi"),
     "log_parse_sticky": goldens.log_parse,
     "log_parse_per_line": goldens.log_parse_per_line,
     "openurl_failure_metrics": goldens.failure_metrics,

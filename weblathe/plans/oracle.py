@@ -13,7 +13,7 @@ res AS (SELECT date, doi, CASE WHEN referrer = '' THEN 'N' WHEN referrer LIKE 'h
   CASE WHEN length(full_domain) > length(domain) THEN substr(full_domain, 1, length(full_domain) - length(domain) - 1) ELSE '' END AS subdomains, domain,
   CASE WHEN referrer = '' THEN '' ELSE regexp_extract(referrer, '^[a-z]+://[^/?#]+([^?#]*)', 1) END AS path FROM named)"""
 _MONTH = "substr(date, 1, 7) || '-01'"
-_KEPT = "domain NOT IN ('doi.org', 'crossref.org', 'unknown.special', 'example.net')"
+_KEPT = "domain NOT IN ('doi.org', 'unknown.special', 'example.net')"
 
 
 def _with(select: str) -> str:
@@ -35,6 +35,15 @@ def _top(counts: str, n: int, prefix: str = "") -> str:
 SELECT d.date, top.key, CAST(coalesce(c.count, 0) AS BIGINT) AS count FROM (SELECT DISTINCT date FROM c) d CROSS JOIN top LEFT JOIN c ON c.date = d.date AND c.key = top.key"""
 
 
+def _wide(counts: str, n: int) -> str:
+    return f"""WITH {RES}, c AS ({counts}), top AS (SELECT DISTINCT key FROM (SELECT key, row_number() OVER (PARTITION BY date ORDER BY count DESC, key) AS r FROM c) WHERE r <= {n}),
+placed AS (SELECT key, CAST(row_number() OVER (ORDER BY sum(count) DESC, key) AS INTEGER) AS place FROM c JOIN top USING (key) GROUP BY key)
+SELECT d.date AS "Date", placed.place, placed.key, CAST(coalesce(c.count, 0) AS BIGINT) AS count FROM (SELECT DISTINCT date FROM c) d CROSS JOIN placed LEFT JOIN c ON c.date = d.date AND c.key = placed.key"""
+
+
+_ORDERS = "SELECT strftime(o_orderdate, '%Y-%m') AS ym, '10.5555/' || CAST(o_custkey AS VARCHAR) AS doi, o_orderkey AS k FROM orders"
+
+
 def _bucket(key: str, n: int) -> str:
     return _with(f"SELECT DISTINCT {key} AS key, upper(substr(md5({key}), 1, {n})) AS bucket FROM res")
 
@@ -68,7 +77,22 @@ SQL: dict[str, str] = {
     "chunk_bucket_fulldomain": _bucket("full_domain", 3),
     "chunk_bucket_doi": _bucket("doi", 4),
     "chunk_roundtrip": _with(_count("domain", "month", "domain <> ''")),
-    "incremental_no_overwrite": "SELECT strftime(o_orderdate, '%Y-%m') AS year_month, count(*) AS count FROM orders WHERE strftime(o_orderdate, '%Y-%m') >= '1996-01' GROUP BY 1",
+    "incremental_no_overwrite": f"WITH o AS ({_ORDERS}) SELECT ym AS year_month, count(*) AS count FROM o WHERE ym >= '1996-01' OR k % 2 = 0 GROUP BY 1",
+    "aggregate_incremental_all": f"WITH o AS ({_ORDERS}) SELECT ym || '-01' AS date, count(*) AS count FROM o WHERE ym >= '1996-01' OR k % 2 = 0 GROUP BY 1",
+    "aggregate_incremental_doi": f"""WITH o AS ({_ORDERS}), once AS (SELECT doi AS key, ym || '-01' AS date, count(*) AS count, ym FROM o WHERE ym < '1996-01' AND k % 2 = 0 GROUP BY ALL),
+again AS (SELECT doi AS key, ym || '-01' AS date, count(*) AS count FROM o WHERE ym NOT IN (SELECT ym FROM once WHERE count >= 2) GROUP BY ALL)
+SELECT key, date, count FROM once WHERE count >= 2 UNION ALL SELECT key, date, count FROM again WHERE count >= 2""",
+    "chunk_roundtrip_grouped": _with("SELECT DISTINCT domain, full_domain FROM res WHERE domain <> ''"),
+    "plain_counts_file": _with("SELECT row_number() OVER (ORDER BY date) - 1 AS place, date || ',' || count(*) AS value FROM res GROUP BY date"),
+    "bucket_files": _with(f"SELECT key, date || ',' || count AS line, upper(substr(md5(key), 1, 2)) AS bucket FROM ({_count('domain', 'month', "domain <> ''")})"),
+    "copied_table": _codes("month"),
+    "fulldomain_unfiltered_month": _with(_count("full_domain", "month")),
+    "grouped_fulldomain_unfiltered": _with("SELECT DISTINCT domain, full_domain FROM res WHERE domain <> ''"),
+    "wide_topn_domain_day_10": _wide(_count("domain", "day", "domain <> ''"), 10),
+    "wide_topn_domain_month_10_filtered": _wide(_count("domain", "month", _KEPT), 10),
+    "wide_topn_domain_month_100": _wide(_count("domain", "month", "domain <> ''"), 100),
+    "wide_topn_fulldomain_day_3": _wide(_count("full_domain", "day"), 3),
+    "topn_domain_month_100_long": _top(_count("domain", "month", "domain <> ''"), 100, RES + ","),
     "order_months_topn": _top("SELECT o_orderpriority AS key, strftime(o_orderdate, '%Y-%m') || '-01' AS date, count(*) AS count FROM orders GROUP BY 1, 2", 2),
     **goldens.EXPECTED,
 }

@@ -6,17 +6,31 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def chunk_rows(df: DataFrame, key: str, *fields: str) -> DataFrame:
-    """key and value, one row a key: its text with sorted lines. Empty keys can't be told from a chunk's end: they raise."""
-    line = F.concat_ws(",", *fields)
+#: A key of more lines than HOT is written as several chunks, by the first WIDTH characters of its lines.
+HOT, WIDTH = 100_000, 7
+
+
+def chunk_lines(df: DataFrame, key: str, *fields: str) -> DataFrame:
+    """key, piece, place and value: the lines of chunk files, to be written in this order.
+
+    A chunk is its key's line (place 0), its data lines (1) and an empty line (2). No chunk is held in memory: a hot key has
+    one chunk a piece, and pieces follow each other as its lines do. Empty keys can't be told from a chunk's end: they raise.
+    """
     key_ok = F.when(F.coalesce(F.col(key), F.lit("")) == "", F.raise_error(F.lit("a chunk needs a key"))).otherwise(F.col(key))
-    lines = df.groupBy(key_ok.alias("key")).agg(F.array_join(F.sort_array(F.collect_list(line)), "\n").alias("lines"))
-    return lines.select("key", F.concat("key", F.lit("\n"), F.when(F.col("lines") == "", F.lit("")).otherwise(F.concat("lines", F.lit("\n")))).alias("value"))
+    lines = df.select(key_ok.alias("key"), F.concat_ws(",", *fields).alias("value"))
+    hot = lines.groupBy(F.col("key").alias("_hot")).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > HOT).select("_hot")
+    lines = lines.join(hot, F.col("key") == F.col("_hot"), "left")
+    lines = lines.select("key", F.when(F.col("_hot").isNull(), F.lit("")).otherwise(F.substring("value", 1, WIDTH)).alias("piece"), "value")
+    ends = lines.select("key", "piece").distinct().select("key", "piece", F.explode(F.array(F.lit(0), F.lit(2))).alias("place"))
+    ends = ends.withColumn("value", F.when(F.col("place") == 0, F.col("key")).otherwise(F.lit("")))
+    data = lines.filter("value <> ''").select("key", "piece", F.lit(1).alias("place"), "value")
+    return ends.unionByName(data)
 
 
 def write_chunks(df: DataFrame, path: str, key: str = "key", fields: tuple[str, ...] = ("date", "count")) -> None:
-    """Chunks sorted by key within each file; the writer's newline after a chunk is its empty line."""
-    chunk_rows(df, key, *fields).repartitionByRange("key").sortWithinPartitions("key").select("value").write.mode("overwrite").text(path)
+    """Chunks sorted by key, then line, over all files."""
+    rows = chunk_lines(df, key, *fields).repartitionByRange("key", "piece").sortWithinPartitions("key", "piece", "place", "value")
+    rows.select("value").write.mode("overwrite").text(path)
 
 
 def read_chunks(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
@@ -24,8 +38,13 @@ def read_chunks(spark: SparkSession, path: str, pattern: str | None = None) -> D
     raw = spark.read.option("lineSep", "\n\n").text(path)
     if pattern:
         raw = raw.filter(F.regexp_extract("_metadata.file_path", "([^/]*)$", 1).rlike(f"^(?:{pattern})$"))
-    parts = raw.select(F.filter(F.split("value", "\n"), lambda x: x != "").alias("p")).filter("size(p) > 1")
-    return parts.select(F.col("p")[0].alias("key"), F.explode(F.slice("p", 2, F.size("p") - 1)).alias("line"))
+    return raw.select(F.explode(parsed("value")).alias("p")).select("p.key", "p.line")
+
+
+def parsed(chunk: Column | str) -> Column:
+    """The key and line of every data line of a chunk's text, as an array; none where it has no data line."""
+    parts = F.filter(F.split(chunk, "\n"), lambda x: x != "")
+    return F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), lambda x: F.struct(F.get(parts, F.lit(0)).alias("key"), x.alias("line")))
 
 
 def read_counts(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
@@ -51,8 +70,8 @@ def bucket(key: Column, hash_chars: int) -> Column:
 
 def write_buckets(df: DataFrame, path: str, hash_chars: int, key: str = "key", fields: tuple[str, ...] = ("date", "count")) -> None:
     """Chunks in one folder a bucket."""
-    rows = chunk_rows(df, key, *fields).withColumn("bucket", bucket(F.col("key"), hash_chars))
-    rows.repartition("bucket").sortWithinPartitions("bucket", "key").select("value", "bucket").write.mode("overwrite").partitionBy("bucket").text(path)
+    rows = chunk_lines(df, key, *fields).withColumn("bucket", bucket(F.col("key"), hash_chars))
+    rows.repartition("bucket").sortWithinPartitions("bucket", "key", "piece", "place", "value").select("value", "bucket").write.mode("overwrite").partitionBy("bucket").text(path)
 
 
 def copy(spark: SparkSession, source: str, target: str) -> None:

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.formats import RECORD_COLUMNS
 
-#: Names that log files begin with, and text files of records.
-LOG_PREFIXES = ("access_log", "CrossRef-access.log")
-RECORD_FILE = r"/\d{4}-\d{2}\.gz$"
+#: What names of log files begin with, unless a site names its own.
+LOG_PREFIXES = ("access_log",)
+#: Fixed value: text files of records, as one file a month or as a folder a month.
+RECORD_FILE = r"/(?:\d{4}-\d{2}|year_month=\d{4}-\d{2}/part-[^/]*)\.gz$"
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -23,18 +26,18 @@ def require(spark: SparkSession, path: str) -> str:
     return path
 
 
-def read_logs(spark: SparkSession, path: str) -> DataFrame:
-    """file, line_id and value of every line of the log files below ``path``, each file once.
+def read_logs(spark: SparkSession, path: str, prefixes: Iterable[str] = LOG_PREFIXES) -> DataFrame:
+    """file, line_id and value of every line of the gzip files in ``path`` whose names begin with a prefix, each file once.
 
     A gzip file is one task, so line_id ascends with the lines of a file.
     """
-    lines = spark.read.option("pathGlobFilter", "{" + ",".join(f"{p}*.gz" for p in LOG_PREFIXES) + "}").text(require(spark, path))
+    lines = spark.read.option("pathGlobFilter", "{" + ",".join(f"{p}*.gz" for p in prefixes) + "}").text(require(spark, path))
     return lines.select(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("line_id"), "value")
 
 
 def read_record_text(spark: SparkSession, path: str) -> DataFrame:
-    """Records from tab-separated ``YYYY-MM.gz`` files; lines without exactly seven fields are left out."""
-    lines = spark.read.option("pathGlobFilter", "*.gz").text(require(spark, path)).filter(F.col("_metadata.file_path").rlike(RECORD_FILE))
+    """Records from tab-separated ``YYYY-MM.gz`` files or folders by month; lines without exactly seven fields are left out."""
+    lines = spark.read.option("pathGlobFilter", "*.gz").option("recursiveFileLookup", True).text(require(spark, path)).filter(F.col("_metadata.file_path").rlike(RECORD_FILE))
     fields = lines.select(F.split("value", "\t", -1).alias("f")).filter(F.size("f") == len(RECORD_COLUMNS))
     return fields.select(*(F.col("f")[k].alias(c) for k, c in enumerate(RECORD_COLUMNS)))
 
@@ -45,7 +48,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).parquet(require(spark, path))
 
 
-def _months(spark: SparkSession, path: str) -> list[str]:
+def stored_months(spark: SparkSession, path: str) -> list[str]:
     """Partitions already stored: a listing of folder names."""
     if not exists(spark, path):
         return []
@@ -56,7 +59,7 @@ def _months(spark: SparkSession, path: str) -> list[str]:
 
 def new_months(df: DataFrame, path: str) -> DataFrame:
     """Rows of months that are not stored yet; stored months are never written again."""
-    months = _months(df.sparkSession, path)
+    months = stored_months(df.sparkSession, path)
     return df.filter(~F.col("year_month").isin(*months)) if months else df
 
 
@@ -66,5 +69,5 @@ def write_records(df: DataFrame, path: str) -> None:
 
 
 def write_record_text(df: DataFrame, path: str) -> None:
-    """Tab-separated records by month, gzip."""
-    df.select(F.concat_ws("\t", *RECORD_COLUMNS).alias("value"), "year_month").write.mode("overwrite").partitionBy("year_month").option("compression", "gzip").text(path)
+    """Tab-separated records by month, gzip; a null field is written empty."""
+    df.select(F.concat_ws("\t", *(F.coalesce(F.col(c), F.lit("")) for c in RECORD_COLUMNS)).alias("value"), "year_month").write.mode("overwrite").partitionBy("year_month").option("compression", "gzip").text(path)
