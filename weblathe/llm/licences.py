@@ -107,13 +107,13 @@ def canonical_sql(text: str) -> str:
 
     x = f"translate(coalesce({text}, ''), '{UPPER}', '{LOWER}')"
     owner = rf"copyright[ \t]+(?!(?:{PROSE})(?![a-z0-9]))[a-z][^\n]{{0,80}}(?=\n|$)"
-    x = sub(x, rf"(?<![^\n])[^a-z0-9\n(©]*(?:copyright[ \t]*{MARKS}[^\n]*|\(c\)[ \t]*[0-9]{{4}}[^\n]*|©[^\n]*|all rights reserved[^\n]*|{owner})", "")
+    x = sub(x, rf"(^|\n)[^a-z0-9\n(©]*(?:copyright[ \t]*{MARKS}[^\n]*|\(c\)[ \t]*[0-9]{{4}}[^\n]*|©[^\n]*|all rights reserved[^\n]*|{owner})", "$1")
     x = sub(x, f"[{MARKED}]", " ")
     x = sub(x, r"[\x00-\x2f\x3a-\x60\x7b-\x7f]+", " ")
     x = f"trim({x})"
     for word, to in SPELLINGS:
         # the blanks around a word belong to its neighbours as well
-        x = sub(x, f"(?<![^ ]){word}(?![^ ])", to)
+        x = sub(x, f"{word}(?![^ ])(?<![^ ]{word})", to)
     return x
 
 
