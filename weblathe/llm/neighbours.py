@@ -34,14 +34,14 @@ from pyspark.sql import functions as F
 from .common import Scratch, small_batches
 
 PARTITIONS, LEAF, DEGREE, SAMPLE, OFFERS, SETTLED = 16, 800, 32, 16, 12, 0.01
-BEAM, SEEN, RESCORED = 256, 2048, 96
+BEAM, RESCORED = 256, 96
 #: A hop expands this part of a beam.
 PART = 4
 #: Members whose offers leave a Python worker at once.
 FLUSH = 8192
 #: Rows of a block of ``exact``.
 BLOCK = 2048
-#: Vectors up to which BEAM and SEEN suffice as they are; each doubling beyond adds half of them.
+#: Vectors up to which BEAM suffices as it is; each doubling beyond adds half of it.
 BASE = 10_000
 #: Up to this length a product of 8-bit vectors is a whole number that single precision holds.
 EXACT = 2**24 // 127**2
@@ -209,19 +209,23 @@ def build(packed: DataFrame, n: int, scratch: Scratch) -> DataFrame:
 
 
 def _walk(graph: DataFrame, packed: DataFrame, queries: DataFrame, n: int, scratch: Scratch, best: int) -> DataFrame:
-    """id and near: the ``best`` nodes that a query has met by the time its whole beam is expanded, best first."""
+    """id and near: the ``best`` nodes that a query has met by the time its whole beam is expanded, best first.
+
+    A node enters a beam only by its score and beams only improve, so ``seen`` keeps no more nodes than beam and result
+    need; ``met`` has the ids of all, so that none is fetched and scored twice.
+    """
     wide = 1 + max(0.0, np.log2(max(1, n) / BASE)) / 2
-    width, most = int(BEAM * wide), int(SEEN * wide)
-    expand = width // PART
+    width = int(BEAM * wide)
+    expand, most = width // PART, max(width, best)
     start = graph.join(queries, "id", "left_semi").join(packed, "id")
-    start = start.selectExpr("id", "q", "scale", "transform(near, x -> named_struct('score', x.score, 'id', x.id, 'done', false)) AS seen", "size(near) > 0 AS open")
+    start = start.selectExpr("id", "q", "scale", "transform(near, x -> named_struct('score', x.score, 'id', x.id, 'done', false)) AS seen", "near.id AS met", "size(near) > 0 AS open")
     kind = pa.struct([("score", pa.float32()), ("id", pa.int64()), ("done", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, 64):
-            lists, offsets, is_open = [], [0], []
+            lists, offsets, is_open, met = [], [0], [], []
             for k in range(batch.num_rows):
-                seen, new = batch.column(3)[k].values, batch.column(4)[k].values
+                seen, new, old = batch.column(3)[k].values, batch.column(5)[k].values, batch.column(4)[k].values.to_numpy()
                 score, ids, done = seen.field("score").to_numpy(), seen.field("id").to_numpy(), seen.field("done").to_numpy(zero_copy_only=False).copy()
                 beam = np.flatnonzero(~done[:width])[:expand]
                 done[beam] = True
@@ -229,14 +233,17 @@ def _walk(graph: DataFrame, packed: DataFrame, queries: DataFrame, n: int, scrat
                     x = _matrix(batch.column(1).slice(k, 1))[0]
                     value = (_matrix(new.field("q")) @ x).astype(np.float32) * (new.field("scale").to_numpy() * np.float32(batch.column(2)[k].as_py()))
                     score, ids, done = np.concatenate([score, value]), np.concatenate([ids, new.field("id").to_numpy()]), np.concatenate([done, np.zeros(len(new), bool)])
+                    old = np.concatenate([old, new.field("id").to_numpy()])
                 order = np.lexsort((ids, -score))[:most]
                 is_open.append(not done[order[:width]].all())
                 order = order if is_open[-1] else order[:best]
+                met.append(old if is_open[-1] else old[:0])
                 lists.append((score[order], ids[order], done[order]))
                 offsets.append(offsets[-1] + len(order))
             columns = [np.concatenate(c) if lists else np.zeros(0) for c in (zip(*lists, strict=True) if lists else [(), (), ()])]
             inner = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, kind, strict=True)], names=["score", "id", "done"])
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), inner), pa.array(is_open, pa.bool_())], names=["id", "q", "scale", "seen", "open"])
+            known = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, met)]), pa.int32()), pa.array(np.concatenate([*met, np.zeros(0, np.int64)]), pa.int64()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), inner), known, pa.array(is_open, pa.bool_())], names=["id", "q", "scale", "seen", "met", "open"])
 
     hop, over = 0, []
     table = scratch.keep(start, "walk-0", "open")
@@ -247,9 +254,9 @@ def _walk(graph: DataFrame, packed: DataFrame, queries: DataFrame, n: int, scrat
             break
         frontier = state.selectExpr("id", f"explode(slice(filter(slice(seen, 1, {width}), x -> NOT x.done), 1, {expand}).id) AS node")
         reached = frontier.join(graph.select(F.col("id").alias("node"), F.col("near.id").alias("near")), "node").groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
-        new = reached.join(state.select("id", F.col("seen.id").alias("old")), "id").select("id", F.explode(F.array_except("near", F.array_append("old", F.col("id")))).alias("node"))
+        new = reached.join(state.select("id", "met"), "id").select("id", F.explode(F.array_except("near", F.array_append("met", F.col("id")))).alias("node"))
         found = new.join(packed.select(F.col("id").alias("node"), "q", "scale"), "node").groupBy("id").agg(F.collect_list(F.struct(F.col("node").alias("id"), "q", "scale")).alias("new"))
-        state = state.join(found, "id", "left").select("id", "q", "scale", "seen", "new").mapInArrow(run, "id bigint, q binary, scale float, seen array<struct<score: float, id: bigint, done: boolean>>, open boolean")
+        state = state.join(found, "id", "left").select("id", "q", "scale", "seen", "met", "new").mapInArrow(run, "id bigint, q binary, scale float, seen array<struct<score: float, id: bigint, done: boolean>>, met array<bigint>, open boolean")
         table = scratch.keep(state, f"walk-{hop + 1}", "open")
         scratch.drop(f"walk-{hop}/open=true")
         hop += 1
