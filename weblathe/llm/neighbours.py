@@ -12,7 +12,7 @@
 
 Samples and beams bound work a node, a round and a hop, and beams widen with the logarithm of the table; recall is
 measured against brute force in tests/llm and, by table size, in the README. Every vector is indexed, and rounds and hops
-are as many as the table needs. ``exact`` gives the same rows without any of these bounds, by scoring blocks of queries
+are as many as the table needs. ``exact`` finds the true neighbours without any of these bounds, by scoring blocks of queries
 against blocks of all rows.
 
 Cases: vectors that are null, zero, or hold null or non-finite components take no part, nor do rows without vec_id; an
