@@ -267,6 +267,32 @@ def test_neighbours_beside_vectors_of_other_lengths(spark):
     assert sorted(map(tuple, neighbours.exact(df, asked).collect())) == expected
 
 
+def test_neighbours_over_many_shards(spark, monkeypatch):
+    """Each query is searched in every shard, in few jobs whatever the rounds and hops; of equal vectors the smaller ids come first."""
+    monkeypatch.setattr(neighbours, "SHARD", 16 * 300)
+    r = np.random.default_rng(6)
+    x = r.normal(size=(3000, 16))
+    x[r.permutation(3000)[:900]] = x[0]
+    x[0] *= -1  # only negative products with its former copies
+    df = _vectors(spark, [(k, v.tolist()) for k, v in enumerate(x)])
+    spark.sparkContext.setJobGroup("neighbours", "over many shards")
+    found = defaultdict(list)
+    for row in sorted(neighbours.search(df, df.filter("vec_id % 20 = 0")).collect(), key=lambda row: row["rank"]):
+        found[row["query_id"]].append((row["vec_id"], row["score"]))
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("neighbours")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    hits = 0
+    for q in range(0, 3000, 20):
+        score = (x * x[q]).cumsum(1)[:, -1]
+        true = [k for k in np.lexsort((np.arange(3000), -score)).tolist() if k != q][:20]
+        assert len(found[q]) == 20 and all(s == score[k] for k, s in found[q])
+        hits += len({k for k, _ in found[q]} & set(true))
+        if (x == x[q]).all(1).sum() > 1 and score[true[-1]] == score[true[0]]:
+            assert [k for k, _ in found[q]] == true
+    assert set(found) == set(range(0, 3000, 20)) and hits >= 0.95 * 150 * 20, hits
+    assert len(jobs) <= 30, len(jobs)
+
+
 @pytest.mark.parametrize("factor", [1e-100, 1e100])
 def test_neighbours_of_any_size(spark, factor):
     x = np.random.default_rng(9).normal(size=(60, 6))

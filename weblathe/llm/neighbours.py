@@ -1,30 +1,33 @@
-"""Approximate nearest neighbours by inner product: NN-descent builds a graph, greedy search walks it.
-
-1. Vectors are checked and quantised to 8 bits with a scale each; all graph work moves these.
-2. Start: every vector joins one leaf in each of PARTITIONS partitions of the space by random hyperplanes. A leaf larger
-   than LEAF is split at random, so its size is bounded whatever the data; within leaves all pairs are scored by blocks.
-3. NN-descent: each node gathers a sample of its neighbours and of those whose neighbour it is (iterative joins), scores
-   the pairs among them and offers each the others that beat its present worst. Every node keeps DEGREE neighbours. Rounds
-   go on until one changes at most SETTLED of the neighbours; lists only improve, so they end.
-4. Search: a query starts at its own node and expands the best unexpanded nodes of its beam until all of its beam is
-   expanded; the best by 8-bit score are scored again on the original vectors in double precision. Queries that are done
-   leave the walk.
-
-Samples and beams bound work a node, a round and a hop, and beams widen with the logarithm of the table; recall is
+"""Approximate nearest neighbours by inner product: NN-descent builds graphs, greedy search walks them.
+
+1. Vectors are checked, packed and dealt by a hash of their ids over shards that one task can hold; every vector is in one.
+   A shard's graph is built and walked where its vectors are, so no hop and no round is a job or a shuffle of its own.
+2. Start: every vector joins one leaf in each of PARTITIONS partitions of its shard by random hyperplanes. A leaf larger
+   than LEAF is split, so its size is bounded whatever the data; within leaves all pairs are scored by blocks.
+3. NN-descent: each node joins a sample of its neighbours and of those whose neighbour it is; it meets the samples that these
+   have joined and keeps the best. Every node keeps DEGREE neighbours. Rounds go on until one changes at most SETTLED of the
+   neighbours; lists only improve, so they end.
+4. Search: a query walks the graphs of all shards of its length. It starts beside its place in each partition and, where it
+   is at home, at its own node, and expands the best unexpanded nodes of its beam until all of its beam is expanded; the best
+   are scored again on the original vectors in double precision. The best of all shards are the query's neighbours.
+
+Samples and beams bound work a node, a round and a hop, and beams widen with the logarithm of the shard; recall is
 measured against brute force in tests/llm and, by table size, in the README. Every vector is indexed, and rounds and hops
-are as many as the table needs. ``exact`` finds the true neighbours without any of these bounds, by scoring blocks of queries
-against blocks of all rows.
+are as many as the shard needs. As queries visit every shard, walks grow with queries times shards. ``exact`` finds the true
+neighbours without any of these bounds, by scoring blocks of queries against blocks of all rows.
 
 Cases: vectors that are null, zero, or hold null or non-finite components take no part, nor do rows without vec_id; an
 inner product needs two vectors of one length, so each is searched among those of its own length, and a vector alone in
-its length has no neighbours; of rows with one vec_id the least vector counts; ties go to the smaller vec_id; a query
-with fewer candidates than k gets all of them; empty tables give no rows; extra columns are ignored, whatever their names.
+its length has no neighbours; of rows with one vec_id the least vector counts; equal vectors are one node of a graph and
+all of them are found with it; ties go to the smaller vec_id; a query with fewer candidates than k gets all of them; empty
+tables give no rows; extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -33,32 +36,19 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, small_batches
 
-PARTITIONS, LEAF, DEGREE, SAMPLE, OFFERS, SETTLED = 16, 800, 32, 16, 12, 0.01
+PARTITIONS, LEAF, DEGREE, SAMPLE, SETTLED = 16, 800, 32, 16, 0.01
 BEAM, RESCORED = 256, 96
 #: A hop expands this part of a beam.
 PART = 4
-#: Members whose offers leave a Python worker at once.
-FLUSH = 8192
+#: Planes of a partition, and nodes on either side of a query's place in it where a walk begins.
+BITS, BESIDE = 24, 16
+#: Components of a shard, which bound what a task holds; up to SPREAD shards are made of smaller tables, with LEAST vectors each.
+SHARD, SPREAD, LEAST = 2**23, 16, 2048
 #: Rows of a block of ``exact``.
 BLOCK = 2048
 #: Vectors up to which BEAM suffices as it is; each doubling beyond adds half of it.
 BASE = 10_000
-#: Up to this length a product of 8-bit vectors is a whole number that single precision holds.
-EXACT = 2**24 // 127**2
 SEED = 5
-NEIGHBOURS = "array<struct<score: float, id: bigint>>"
-
-
-def _matrix(column: pa.Array) -> np.ndarray:
-    """Rows of 8-bit components from a binary column."""
-    raw = b"".join(column.to_pylist())
-    x = np.frombuffer(raw, np.int8).reshape(len(column), -1)
-    return x.astype(np.float32 if x.shape[1] <= EXACT else np.float64)
-
-
-def _struct_list(offsets: list[int], scores: np.ndarray, ids: np.ndarray) -> pa.ListArray:
-    inner = pa.StructArray.from_arrays([pa.array(scores, pa.float32()), pa.array(ids, pa.int64())], names=["score", "id"])
-    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), inner)
 
 
 def load(df: DataFrame, id: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -69,223 +59,295 @@ def load(df: DataFrame, id: str = "vec_id", vector: str = "embedding") -> DataFr
     return rows.groupBy("id").agg(F.min("v").alias("v")).withColumn("dim", F.size("v"))
 
 
-def _quantise(vectors: DataFrame, largest: float = 1.0) -> DataFrame:
-    """id, dim, q (8-bit components) and scale of every vector; ``largest``: the table's largest component, so that products
-    of two scales stay within single precision."""
+def _quantise(vectors: DataFrame) -> DataFrame:
+    """id, dim and v, packed: in single precision where that holds every component exactly, else in double."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, 4096):
             flat, offsets = batch.column(1).flatten().to_numpy(), np.cumsum([0, *batch.column(1).value_lengths().to_pylist()])
-            packed, scales = [], []
-            for k in range(batch.num_rows):
-                x = flat[offsets[k] : offsets[k + 1]]
-                scale = float(np.abs(x).max())
-                packed.append(np.rint(x / scale * 127).astype(np.int8).tobytes())
-                scales.append(max(scale / largest, 1e-18) / 127)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(packed, pa.binary()), pa.array(scales, pa.float32())], names=["id", "dim", "q", "scale"])
+            with np.errstate(over="ignore"):
+                single = flat.astype(np.float32)
+            exact = single == flat
+            packed = [(single if exact[a:b].all() else flat)[a:b].tobytes() for a, b in zip(offsets, offsets[1:])]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(packed, pa.binary())], names=["id", "dim", "v"])
 
-    return vectors.select("id", "v", "dim").mapInArrow(run, "id bigint, dim int, q binary, scale float")
+    return vectors.select("id", "v", "dim").mapInArrow(run, "id bigint, dim int, v binary")
 
 
-def _blocks(groups: DataFrame, most: int, floor: bool) -> DataFrame:
-    """Score all pairs within each row's members; offer each member its best ``most`` others.
+def _unpack(packed: pa.Array, dim: int) -> np.ndarray:
+    """Rows of components from a column of packed vectors."""
+    rows = packed.to_pylist()
+    if all(len(r) == 4 * dim for r in rows):
+        return np.frombuffer(b"".join(rows), np.float32).reshape(-1, dim)
+    return np.stack([np.frombuffer(r, np.float32 if len(r) == 4 * dim else np.float64) for r in rows]).astype(np.float64)
 
-    A row has ``m``: a list of (id, q, scale) and, with ``floor``, worst: offers below it are left out.
-    """
 
-    def offers(ids: list, offsets: list[int], scores: list, others: list) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(ids), pa.int64()), _struct_list(offsets, np.concatenate(scores), np.concatenate(others))], names=["id", "near"])
+def _best(score: np.ndarray, most: int) -> np.ndarray:
+    """Columns of each row's ``most`` highest scores, highest first."""
+    top = np.argpartition(-score, most - 1, axis=1)[:, :most] if most < score.shape[1] else np.broadcast_to(np.arange(score.shape[1]), score.shape)
+    return np.take_along_axis(top, np.argsort(-np.take_along_axis(score, top, 1), axis=1, kind="stable"), 1)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            members, ids, offsets, scores, others = batch.column(0), [], [0], [], []
-            for k in range(len(members)):
-                m = members[k].values
-                own = m.field("id").to_numpy()
-                n = min(most, len(own) - 1)
-                if n < 1:
-                    continue
-                x, scale = _matrix(m.field("q")), m.field("scale").to_numpy()
-                # whole products: a pair gets the same score in every block and in both directions
-                s = (x @ x.T).astype(np.float32) * np.outer(scale, scale)
-                np.fill_diagonal(s, -np.inf)
-                if floor:
-                    s[s <= m.field("worst").to_numpy()[:, None]] = -np.inf
-                best = np.argpartition(-s, n - 1, axis=1)[:, :n]
-                value = np.take_along_axis(s, best, 1)
-                good = value > -np.inf
-                ids.append(own)
-                offsets += (offsets[-1] + np.cumsum(good.sum(1))).tolist()
-                scores.append(value[good])
-                others.append(own[best][good])
-                if len(offsets) > FLUSH:
-                    # a member takes little room as it comes and much with its offers
-                    yield offers(ids, offsets, scores, others)
-                    ids, offsets, scores, others = [], [0], [], []
-            if ids:
-                yield offers(ids, offsets, scores, others)
-
-    return groups.mapInArrow(run, f"id bigint, near {NEIGHBOURS}")
-
-
-def _merge(lists: DataFrame) -> DataFrame:
-    """id, near: the best DEGREE distinct of the lists near and more (or null), by score, ties to smaller ids; changed: how many are from more only.
-
-    One id always comes with one score.
-    """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches):
-            n, parts = batch.num_rows, []
-            for fresh, column in enumerate(batch.columns[1:]):
-                flat, sizes = column.flatten(), column.value_lengths().fill_null(0).to_numpy()
-                parts.append((np.repeat(np.arange(n), sizes), -flat.field("score").to_numpy(), flat.field("id").to_numpy(), np.full(len(flat), fresh)))
-            row, cost, other, fresh = map(np.concatenate, zip(*parts, strict=True))
-            order = np.lexsort((fresh, other, cost, row))
-            row, cost, other, fresh = row[order], cost[order], other[order], fresh[order]
-            first = np.ones(len(row), bool)
-            first[1:] = (row[1:] != row[:-1]) | (other[1:] != other[:-1])
-            row, cost, other, fresh = row[first], cost[first], other[first], fresh[first]
-            best = np.arange(len(row)) - np.searchsorted(row, row) < DEGREE
-            row, cost, other, fresh = row[best], cost[best], other[best], fresh[best]
-            offsets = [0, *np.cumsum(np.bincount(row, minlength=n)).tolist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), _struct_list(offsets, -cost, other), pa.array(np.bincount(row, fresh, n).astype(np.int64))], names=["id", "near", "changed"])
-
-    return lists.select("id", "near", "more").mapInArrow(run, f"id bigint, near {NEIGHBOURS}, changed bigint")
-
-
-def _start(packed: DataFrame) -> DataFrame:
-    """Offers from blocks of bounded leaves; a leaf holds vectors of one length."""
-    bits = F.greatest(F.lit(0), F.ceil(F.log2(F.count(F.lit(1)) / F.lit(LEAF)))).cast("int").alias("bits")
-    sized = packed.join(packed.groupBy("dim").agg(bits), "dim")
+class _Shard:
+    """A shard's vectors, their graph and the places where walks begin.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        planes: dict[tuple[int, int], np.ndarray] = {}
-        for batch in batches:
-            dims, counts = batch.column(1).to_numpy(), batch.column(4).to_numpy()
-            codes = np.zeros((batch.num_rows, PARTITIONS), np.int64)
-            for dim in np.unique(dims):
-                rows = np.flatnonzero(dims == dim)
-                depth = int(counts[rows[0]])
-                if not depth:
-                    continue
-                if (own := planes.get((int(dim), depth))) is None:
-                    planes.clear()
-                    own = planes[int(dim), depth] = np.random.default_rng([SEED, int(dim)]).normal(size=(PARTITIONS, depth, int(dim))).astype(np.float32)
-                x = _matrix(batch.column(2).take(pa.array(rows)))
-                codes[rows] = (np.einsum("nd,pbd->npb", x, own) > 0) @ (1 << np.arange(depth, dtype=np.int64))
-            flat = pa.ListArray.from_arrays(pa.array(np.arange(0, codes.size + 1, PARTITIONS), pa.int32()), pa.array(codes.ravel()))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], flat], names=["id", "dim", "q", "scale", "codes"])
+    Equal vectors are one node. ``near`` and ``score`` are DEGREE neighbours of each node, best first; node ``n`` stands for
+    none, with score -inf.
+    """
 
-    coded = sized.select("id", "dim", "q", "scale", "bits").mapInArrow(run, "id bigint, dim int, q binary, scale float, codes array<bigint>")
-    coded = coded.select("id", "dim", "q", "scale", F.posexplode("codes").alias("p", "code"))
-    counts = coded.groupBy("dim", "p", "code").agg(F.ceil(F.count(F.lit(1)) / F.lit(LEAF)).alias("parts"))
-    leaves = coded.join(counts, ["dim", "p", "code"]).withColumn("part", F.pmod(F.xxhash64("id", "p"), F.col("parts")))
-    return _blocks(leaves.groupBy("dim", "p", "code", "part").agg(F.collect_list(F.struct("id", "q", "scale")).alias("m")).select("m"), DEGREE, False)
+    def __init__(self, ids: np.ndarray, v: np.ndarray, leaf: int = LEAF):
+        v = v[order := np.argsort(ids)] + v.dtype.type(0)  # no negative zeros
+        ids = ids[order]
+        _, first, node = np.unique(v.view(np.dtype((np.void, v.itemsize * v.shape[1]))).ravel(), return_index=True, return_inverse=True)
+        self.ids, self.node, self.v, self.n = ids, node, v[first], len(first)
+        members = np.argsort(node, kind="stable")  # a node's ids lie side by side, smaller ones first
+        self.members, self.begins = ids[members], np.concatenate([[0], np.cumsum(np.bincount(node, minlength=self.n))])
+        self.x = (self.v / np.abs(self.v).max()).astype(np.float32)
+        self.random = np.random.default_rng([SEED, v.shape[1]])
+        self.planes = self.random.normal(size=(v.shape[1], PARTITIONS * BITS)).astype(np.float32)
+        codes = self._codes(self.x)
+        self.order = np.argsort(codes, axis=0, kind="stable").astype(np.int32)
+        self.codes = np.take_along_axis(codes, self.order, 0)
+        self.near, self.score = np.full((self.n, DEGREE), self.n, np.int32), np.full((self.n, DEGREE), -np.inf, np.float32)
+        self._start(leaf)
+        if self.n > leaf:
+            self._descend()
+
+    def _codes(self, x: np.ndarray) -> np.ndarray:
+        """A number for each row and partition: on which side of BITS planes it lies."""
+        parts = [(x[k : k + 4096] @ self.planes > 0).reshape(-1, PARTITIONS, BITS) @ (1 << np.arange(BITS, dtype=np.int32)[::-1]) for k in range(0, len(x), 4096)]
+        return np.concatenate(parts).astype(np.int32)
+
+    def _scores(self, y: np.ndarray, nodes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Scores of runs of ``nodes``, as many to each row of ``y`` as ``sizes`` says."""
+        x, out, at = self.x[nodes], np.empty(len(nodes), np.float32), 0
+        for k, size in enumerate(sizes.tolist()):
+            np.dot(x[at : at + size], y[k], out=out[at : at + size])
+            at += size
+        return out
+
+    def _start(self, most: int) -> None:
+        """All pairs within each partition's leaves of at most ``most`` nodes."""
+        bits = max(0, int(np.ceil(np.log2(self.n / most))))
+        for p in range(PARTITIONS if self.n > most else 1):
+            edges = np.flatnonzero(np.diff(self.codes[:, p] >> max(0, BITS - bits))) + 1
+            for leaf in np.split(self.order[:, p], edges):
+                for m in np.array_split(leaf, -(-len(leaf) // most)):
+                    s = self.x[m] @ self.x[m].T
+                    np.fill_diagonal(s, -np.inf)
+                    best = _best(s, min(DEGREE, len(m)))
+                    score = np.concatenate([self.score[m], np.take_along_axis(s, best, 1)], 1)
+                    nodes = np.concatenate([self.near[m], m[best]], 1)
+                    by = np.argsort(nodes, axis=1, kind="stable")
+                    nodes, score = np.take_along_axis(nodes, by, 1), np.take_along_axis(score, by, 1)
+                    score[:, 1:][nodes[:, 1:] == nodes[:, :-1]] = -np.inf
+                    self._put(m, nodes, score)
+
+    def _put(self, rows: np.ndarray, nodes: np.ndarray, score: np.ndarray) -> np.ndarray:
+        """Keep the best of the nodes offered to each row; which columns these are."""
+        best = _best(score, DEGREE)
+        self.score[rows] = np.take_along_axis(score, best, 1)
+        self.near[rows] = np.where(self.score[rows] > -np.inf, np.take_along_axis(nodes, best, 1), self.n)
+        return best
+
+    def _descend(self) -> None:
+        """NN-descent: each node joins samples of its neighbours and of those whose neighbour it is; these meet their samples."""
+        n, unsettled = self.n, True
+        step = max(1, 2**22 // (4 * SAMPLE * SAMPLE * self.x.shape[1]))
+        while unsettled:
+            pick = np.argsort(self.random.random((n, DEGREE), np.float32), axis=1)[:, :SAMPLE]
+            mixed = self.random.permutation(n * DEGREE)
+            at, to = (mixed // DEGREE).astype(np.int32), self.near.ravel()[mixed]
+            by = np.argsort(to, kind="stable")
+            at, to = at[by], to[by]
+            rank = np.arange(len(to)) - np.searchsorted(to, np.arange(n + 1))[to]
+            at, to, rank = (c[(rank < SAMPLE) & (to < n)] for c in (at, to, rank))
+            joined = np.full((n + 1, 2 * SAMPLE), n, np.int32)
+            joined[:n, :SAMPLE] = np.take_along_axis(self.near, pick, 1)
+            joined[to, SAMPLE + rank] = at
+            changed, before = 0, self.score[self.score > -np.inf].sum(dtype=np.float64)
+            filled = np.count_nonzero(self.near < n)
+            for a in range(0, n, step):
+                rows = np.arange(a, min(n, a + step))
+                # twice the number of a node, and one more where it isn't a neighbour yet
+                key = np.sort(np.concatenate([2 * self.near[rows], 2 * joined[joined[rows]].reshape(len(rows), -1) + 1], 1), axis=1)
+                nodes = key >> 1
+                good = (nodes < n) & (nodes != rows[:, None])
+                good[:, 1:] &= nodes[:, 1:] != nodes[:, :-1]
+                score = np.full(nodes.shape, -np.inf, np.float32)
+                score[good] = self._scores(self.x[rows], nodes[good], good.sum(1))
+                best = self._put(rows, nodes, score)
+                changed += np.count_nonzero(np.take_along_axis(key & good, best, 1) & 1)
+            # where only rounding still moves them, lists are as good as they get
+            after = self.score[self.score > -np.inf].sum(dtype=np.float64)
+            unsettled = changed > SETTLED * n * DEGREE and (np.count_nonzero(self.near < n) > filled or after - before > 1e-7 * abs(before))
+
+    def lists(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The graph of vectors: ids, and DEGREE neighbours or fewer of each with scores, equal vectors among them."""
+        own = np.arange(self.n)
+        nodes = np.concatenate([own[:, None], self.near], 1)[self.node]
+        score = np.concatenate([np.einsum("nd,nd->n", self.x, self.x)[:, None], self.score], 1)[self.node]
+        row, column = np.nonzero(nodes < self.n)
+        return self._ranked(row, nodes[row, column], score[row, column], self.ids, DEGREE)
+
+    def _ranked(self, row: np.ndarray, node: np.ndarray, score: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The k best ids of each row's nodes but the row's own, ties to smaller ids: sizes of lists, scores, ids.
+
+        Equal vectors have equal scores, so no more than the k + 1 smallest ids of a node can be among them.
+        """
+        many = np.minimum(self.begins[node + 1] - self.begins[node], k + 1)
+        place = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        ids, row, score = self.members[np.repeat(self.begins[node], many) + place], np.repeat(row, many), np.repeat(score, many)
+        other = ids != own[row]
+        ids, row, score = ids[other], row[other], score[other]
+        order = np.lexsort((ids, -score, row))
+        ids, row, score = ids[order], row[order], score[order]
+        top = np.arange(len(row)) - np.searchsorted(row, row) < k
+        return np.bincount(row[top], minlength=len(own)), score[top], ids[top]
+
+    def search(self, ids: np.ndarray, v: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Queries' ids with their k nearest here, in parts: ids, sizes of lists, exact scores, ids found."""
+        wide = 1 + max(0.0, np.log2(self.n / BASE)) / 2
+        width, best = int(BEAM * wide), max(RESCORED, 4 * k)
+        step = max(1, min(64, 2**24 // (width // PART * DEGREE * self.x.shape[1])))
+        for a in range(0, len(ids), step):
+            own, u = ids[a : a + step], v[a : a + step].astype(np.float64)
+            row, node = self._walk((u / np.abs(u).max(1, keepdims=True)).astype(np.float32), own, width, best)
+            # summed in order, as by ``exact``
+            score = np.cumsum(self.v[node].astype(np.float64) * u[row], axis=1)[:, -1]
+            yield own, *self._ranked(row, node, score, own, k)
+
+    def _walk(self, y: np.ndarray, own: np.ndarray, width: int, best: int) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of ``y`` and their ``best`` nodes met by the time the whole beam is expanded; a node is met once."""
+        n, count, expand, most = self.n, len(y), width // PART, max(width, best)
+        near = np.concatenate([self.near, np.full((1, DEGREE), n, np.int32)])
+        met = np.zeros((count, n + 1), bool)
+        met[:, n] = True
+        beam, score, done = np.full((count, most), n, np.int32), np.full((count, most), -np.inf, np.float32), np.ones((count, most), bool)
+        # begin at the query's own node, if it is here, and beside its place in each partition
+        codes = self._codes(y)
+        at = np.stack([np.searchsorted(self.codes[:, p], codes[:, p]) for p in range(PARTITIONS)], 1)
+        window = np.clip(at[:, :, None] + np.arange(-BESIDE, BESIDE), 0, n - 1)
+        place = np.minimum(np.searchsorted(self.ids, own), len(self.ids) - 1)
+        here = np.where(self.ids[place] == own, self.node[place], n)
+        new = np.concatenate([self.order[window, np.arange(PARTITIONS)[None, :, None]].reshape(count, -1), here[:, None]], 1)
+        live = np.arange(count)
+        while len(live):
+            new = np.sort(new.astype(np.int32), axis=1)
+            good = ~met[live[:, None], new]
+            good[:, 1:] &= new[:, 1:] != new[:, :-1]
+            row, column = np.nonzero(good)
+            nodes, sizes = new[row, column], good.sum(1)
+            met[live[row], nodes] = True
+            place = most + np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            wide = most + int(sizes.max(initial=0))
+            b, s, d = np.full((len(live), wide), n, np.int32), np.full((len(live), wide), -np.inf, np.float32), np.ones((len(live), wide), bool)
+            b[:, :most], s[:, :most], d[:, :most] = beam[live], score[live], done[live]
+            b[row, place], s[row, place], d[row, place] = nodes, self._scores(y[live], nodes, sizes), False
+            top = _best(s, most)
+            b, s, d = (np.take_along_axis(c, top, 1) for c in (b, s, d))
+            todo = ~d[:, :width]
+            todo &= np.cumsum(todo, axis=1) <= expand
+            d[:, :width] |= todo
+            beam[live], score[live], done[live] = b, s, d
+            is_open = todo.any(1)
+            live, todo, b = live[is_open], todo[is_open], b[is_open, :width]
+            first = np.argsort(~todo, axis=1, kind="stable")[:, :expand]
+            new = near[np.where(np.take_along_axis(todo, first, 1), np.take_along_axis(b, first, 1), n)].reshape(len(live), expand * DEGREE)
+        row, column = np.nonzero(beam[:, :best] < n)
+        return row, beam[row, column]
+
+
+def _shards(packed: DataFrame, scratch: Scratch) -> DataFrame:
+    """dim and shards: over how many shards the vectors of each length are dealt."""
+    # enough of them to keep small tables from one task, and none too large for one
+    few, most = F.least(F.lit(SPREAD), F.floor(F.col("n") / F.lit(LEAST))), F.ceil(F.col("n") * F.col("dim") / F.lit(SHARD))
+    sizes = packed.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).select("dim", F.greatest(few, most, F.lit(1)).cast("int").alias("shards"))
+    return scratch.keep(sizes, "sizes")
+
+
+def _dealt(packed: DataFrame, queries: DataFrame | None, sizes: DataFrame) -> DataFrame:
+    """dim, shard, asked, id, v: each vector in the shard of its id and each query in all shards of its length; a shard's
+    rows lie in one partition, vectors before queries."""
+    known = F.broadcast(sizes)
+    rows = packed.join(known, "dim").select("dim", F.pmod(F.xxhash64("id"), F.col("shards")).cast("int").alias("shard"), F.lit(False).alias("asked"), "id", "v")
+    if queries is not None:
+        asked = packed.join(queries, "id", "left_semi").join(known, "dim")
+        rows = rows.unionByName(asked.select("dim", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"), F.lit(True).alias("asked"), "id", "v"))
+    # with several ranges a shard each shard gets at least one of its own
+    total = sizes.agg(F.sum("shards")).first()[0] or 1
+    return rows.repartitionByRange(4 * total, "dim", "shard").sortWithinPartitions("dim", "shard", "asked", "id")
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int], bool, np.ndarray, np.ndarray]]:
+    """Runs of rows of one shard and kind: (dim, shard), asked, ids, vectors."""
+    for batch in small_batches(batches, 4096):
+        if not batch.num_rows:
+            continue
+        dim, shard, asked = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(3))
+        edges = np.flatnonzero((np.diff(dim) != 0) | (np.diff(shard) != 0) | (asked[1:] != asked[:-1])) + 1
+        for a, b in zip([0, *edges.tolist()], [*edges.tolist(), batch.num_rows]):
+            yield (int(dim[a]), int(shard[a])), bool(asked[a]), batch.column(3)[a:b].to_numpy(), _unpack(batch.column(4)[a:b], int(dim[a]))
+
+
+def _shard(parts: list[tuple[np.ndarray, np.ndarray]], leaf: int) -> _Shard:
+    ids, v = zip(*parts, strict=True)
+    return _Shard(np.concatenate(ids), np.concatenate(v), leaf)
+
+
+def _lists(ids: np.ndarray, sizes: np.ndarray, scores: np.ndarray, others: np.ndarray, kind: pa.DataType) -> pa.RecordBatch:
+    inner = pa.StructArray.from_arrays([pa.array(scores, kind), pa.array(others, pa.int64())], names=["score", "id"])
+    near = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), inner)
+    return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), near], names=["id", "near"])
 
 
 def build(packed: DataFrame, n: int, scratch: Scratch) -> DataFrame:
-    """The neighbour graph: id and near, DEGREE neighbours by descending score."""
-    offers = _start(packed).groupBy("id").agg(F.flatten(F.collect_list("near")).alias("more"))
-    empty = F.expr(f"CAST(array() AS {NEIGHBOURS})")
-    graph = scratch.keep(_merge(packed.select("id", empty.alias("near")).join(offers, "id", "left")), "graph-0")
-    step, unsettled = 0, n > LEAF
-    while unsettled:
-        edges = graph.select("id", F.explode("near.id").alias("other"))
-        rank = f"row_number() OVER (PARTITION BY %s ORDER BY xxhash64(id, other, {step})) AS r"
-        # Spark limits each rank before its shuffle as well, so hubs don't meet in one task
-        out = edges.selectExpr("id AS at", "other AS member", rank % "id").filter(f"r <= {SAMPLE}")
-        back = edges.selectExpr("other AS at", "id AS member", rank % "other").filter(f"r <= {SAMPLE}")
-        pairs = out.unionByName(back).select("at", "member").distinct()
-        worst = graph.select("id", F.when(F.size("near") >= DEGREE, F.element_at("near", -1)["score"]).otherwise(F.lit(float("-inf"))).cast("float").alias("worst"))
-        points = packed.join(worst, "id")
-        members = pairs.join(points, pairs["member"] == points["id"]).groupBy("at").agg(F.collect_list(F.struct("id", "q", "scale", "worst")).alias("m")).select("m")
-        offers = _blocks(members, OFFERS, True).filter("size(near) > 0").groupBy("id").agg(F.flatten(F.collect_list("near")).alias("more"))
-        graph = scratch.keep(_merge(graph.join(offers, "id", "left")), f"graph-{step + 1}")
-        unsettled = graph.agg(F.sum("changed")).first()[0] > SETTLED * n * DEGREE
-        scratch.drop(f"graph-{step}")
-        step += 1
-    return graph
-
-
-def _walk(graph: DataFrame, packed: DataFrame, queries: DataFrame, n: int, scratch: Scratch, best: int) -> DataFrame:
-    """id and near: the ``best`` nodes that a query has met by the time its whole beam is expanded, best first.
-
-    A node enters a beam only by its score and beams only improve, so ``seen`` keeps no more nodes than beam and result
-    need; ``met`` has the ids of all, so that none is fetched and scored twice.
-    """
-    wide = 1 + max(0.0, np.log2(max(1, n) / BASE)) / 2
-    width = int(BEAM * wide)
-    expand, most = width // PART, max(width, best)
-    start = graph.join(queries, "id", "left_semi").join(packed, "id")
-    start = start.selectExpr("id", "q", "scale", "transform(near, x -> named_struct('score', x.score, 'id', x.id, 'done', false)) AS seen", "near.id AS met", "size(near) > 0 AS open")
-    kind = pa.struct([("score", pa.float32()), ("id", pa.int64()), ("done", pa.bool_())])
+    """The neighbour graphs of all shards: id and near, DEGREE neighbours by descending score (on vectors scaled to a largest
+    component of 1 in their shard). Shards follow from the vectors themselves, so ``n``, their number, is no longer used."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, 64):
-            lists, offsets, is_open, met = [], [0], [], []
-            for k in range(batch.num_rows):
-                seen, new, old = batch.column(3)[k].values, batch.column(5)[k].values, batch.column(4)[k].values.to_numpy()
-                score, ids, done = seen.field("score").to_numpy(), seen.field("id").to_numpy(), seen.field("done").to_numpy(zero_copy_only=False).copy()
-                beam = np.flatnonzero(~done[:width])[:expand]
-                done[beam] = True
-                if new is not None and len(new):
-                    x = _matrix(batch.column(1).slice(k, 1))[0]
-                    value = (_matrix(new.field("q")) @ x).astype(np.float32) * (new.field("scale").to_numpy() * np.float32(batch.column(2)[k].as_py()))
-                    score, ids, done = np.concatenate([score, value]), np.concatenate([ids, new.field("id").to_numpy()]), np.concatenate([done, np.zeros(len(new), bool)])
-                    old = np.concatenate([old, new.field("id").to_numpy()])
-                order = np.lexsort((ids, -score))[:most]
-                is_open.append(not done[order[:width]].all())
-                order = order if is_open[-1] else order[:best]
-                met.append(old if is_open[-1] else old[:0])
-                lists.append((score[order], ids[order], done[order]))
-                offsets.append(offsets[-1] + len(order))
-            columns = [np.concatenate(c) if lists else np.zeros(0) for c in (zip(*lists, strict=True) if lists else [(), (), ()])]
-            inner = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, kind, strict=True)], names=["score", "id", "done"])
-            known = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, met)]), pa.int32()), pa.array(np.concatenate([*met, np.zeros(0, np.int64)]), pa.int64()))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), inner), known, pa.array(is_open, pa.bool_())], names=["id", "q", "scale", "seen", "met", "open"])
-
-    hop, over = 0, []
-    table = scratch.keep(start, "walk-0", "open")
-    while True:
-        state = table.filter("open")
-        over.append(table.filter("NOT open").selectExpr("id", "seen.id AS near"))
-        if state.isEmpty():
-            break
-        frontier = state.selectExpr("id", f"explode(slice(filter(slice(seen, 1, {width}), x -> NOT x.done), 1, {expand}).id) AS node")
-        reached = frontier.join(graph.select(F.col("id").alias("node"), F.col("near.id").alias("near")), "node").groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
-        new = reached.join(state.select("id", "met"), "id").select("id", F.explode(F.array_except("near", F.array_append("met", F.col("id")))).alias("node"))
-        found = new.join(packed.select(F.col("id").alias("node"), "q", "scale"), "node").groupBy("id").agg(F.collect_list(F.struct(F.col("node").alias("id"), "q", "scale")).alias("new"))
-        state = state.join(found, "id", "left").select("id", "q", "scale", "seen", "met", "new").mapInArrow(run, "id bigint, q binary, scale float, seen array<struct<score: float, id: bigint, done: boolean>>, met array<bigint>, open boolean")
-        table = scratch.keep(state, f"walk-{hop + 1}", "open")
-        scratch.drop(f"walk-{hop}/open=true")
-        hop += 1
-    return reduce(DataFrame.unionByName, over)
-
+        for _, runs in groupby(_runs(batches), key=itemgetter(0)):
+            shard = _shard([r[2:] for r in runs], LEAF)
+            yield _lists(shard.ids, *shard.lists(), pa.float32())
 
-def _ranked(pairs: DataFrame, full: DataFrame, k: int) -> DataFrame:
-    """The k best of pairs (query_id, vec_id), scored on the original vectors in double precision."""
-    pairs = pairs.join(full.select(F.col("id").alias("vec_id"), F.col("v").alias("_v")), "vec_id").join(full.select(F.col("id").alias("query_id"), F.col("v").alias("_u")), "query_id")
-    scored = pairs.select("query_id", "vec_id", F.expr("aggregate(zip_with(_u, _v, (x, y) -> x * y), 0D, (s, x) -> s + x)").alias("score"))
-    ranked = scored.withColumn("rank", F.expr("row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)"))
-    return ranked.filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
+    return scratch.keep(_dealt(packed, None, _shards(packed, scratch)).mapInArrow(run, "id bigint, near array<struct<score: float, id: bigint>>"), "graph")
 
 
 def search(df: DataFrame, queries: DataFrame, k: int = 20, id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """The k nearest others of each queried row of ``df``: query_id, rank, vec_id, score. ``queries`` has ids in ``id``."""
     scratch = Scratch(df.sparkSession)
-    full = scratch.keep(load(df, id, vector), "vectors")
-    n, largest = full.agg(F.count(F.lit(1)), F.max(F.array_max(F.transform("v", F.abs)))).first()
-    packed = scratch.keep(_quantise(full, largest or 1.0), "packed")
-    graph = build(packed, n, scratch)
+    packed = scratch.keep(_quantise(load(df, id, vector)), "packed")
     asked = queries.select(F.col(id).cast("bigint").alias("id")).distinct()
-    # within one leaf the graph starts from all pairs, and a walk from all of a query's neighbours
-    seen = _walk(graph, packed, asked, n, scratch, max(RESCORED, 4 * k))
-    out = scratch.keep(_ranked(seen.selectExpr("id AS query_id", "explode(near) AS vec_id"), full, k), "found")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, runs in groupby(_runs(batches), key=itemgetter(0)):
+            parts, shard = [], None
+            for _, is_query, ids, v in runs:
+                if not is_query:
+                    parts.append((ids, v))
+                    continue
+                if shard is None and parts:
+                    shard, parts = _shard(parts, LEAF), []
+                for found in shard.search(ids, v, k) if shard else []:
+                    yield _lists(*found, pa.float64())
+
+    found = _dealt(packed, asked, _shards(packed, scratch)).mapInArrow(run, "id bigint, near array<struct<score: double, id: bigint>>")
+    merged = found.groupBy("id").agg(F.flatten(F.collect_list("near")).alias("near"))
+    best = F.slice(F.array_sort(F.transform("near", lambda x: F.struct((0 - x["score"]).alias("cost"), x["id"].alias("id")))), 1, k)
+    ranked = merged.select(F.col("id").alias("query_id"), F.posexplode(best).alias("rank", "x"))
+    out = scratch.keep(ranked.select("query_id", (F.col("rank") + 1).cast("int").alias("rank"), F.col("x.id").alias("vec_id"), (0 - F.col("x.cost")).alias("score")), "found")
     scratch.drop_others("found")
     return out
 
 
+def _ranked(pairs: DataFrame, full: DataFrame, k: int) -> DataFrame:
+    """The k best of pairs (query_id, vec_id), scored on the original vectors in double precision."""
+    pairs = pairs.join(full.select(F.col("id").alias("vec_id"), F.col("v").alias("_v")), "vec_id").join(full.select(F.col("id").alias("query_id"), F.col("v").alias("_u")), "query_id")
+    scored = pairs.select("query_id", "vec_id", F.expr("aggregate(zip_with(_u, _v, (x, y) -> x * y), 0D, (s, x) -> s + x)").alias("score"))
+    ranked = scored.withColumn("rank", F.expr("row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)"))
+    return ranked.filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
+
+
 def exact(df: DataFrame, queries: DataFrame, k: int = 20, id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """As ``search``, by brute force: every block of queries meets every block of rows of its length, and nothing is capped."""
     scratch = Scratch(df.sparkSession)
