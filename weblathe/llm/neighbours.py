@@ -4,9 +4,9 @@
    A shard's graph is built and walked where its vectors are, so no hop and no round is a job or a shuffle of its own.
 2. Start: every vector joins one leaf in each of PARTITIONS partitions of its shard by random hyperplanes. A leaf larger
    than LEAF is split, so its size is bounded whatever the data; within leaves all pairs are scored by blocks.
-3. NN-descent: each node joins a sample of its neighbours and of those whose neighbour it is; it meets the samples that these
-   have joined and keeps the best. Every node keeps DEGREE neighbours. Rounds go on until one changes at most SETTLED of the
-   neighbours; lists only improve, so they end.
+3. NN-descent: each node gathers a sample of its neighbours and of those whose neighbour it is; pairs among them are joined and
+   each is offered the others that beat its present worst. Every node keeps DEGREE neighbours. Rounds go on until one changes
+   at most SETTLED of the neighbours; lists only improve, so they end.
 4. Search: a query walks the graphs of all shards of its length. It starts beside its place in each partition and, where it
    is at home, at its own node, and expands the best unexpanded nodes of its beam until all of its beam is expanded; the best
    are scored again on the original vectors in double precision. The best of all shards are the query's neighbours.
@@ -44,6 +44,8 @@ PART = 4
 BITS, BESIDE = 24, 16
 #: Components of a shard, which bound what a task holds; up to SPREAD shards are made of smaller tables, with LEAST vectors each.
 SHARD, SPREAD, LEAST = 2**23, 16, 2048
+#: Pairs that wait to be offered, and of these as many as are scored at once.
+JOINED, MET = 2**22, 2**16
 #: Rows of a block of ``exact``.
 BLOCK = 2048
 #: Vectors up to which BEAM suffices as it is; each doubling beyond adds half of it.
@@ -106,17 +108,18 @@ class _Shard:
         self.random = np.random.default_rng([SEED, v.shape[1]])
         self.planes = self.random.normal(size=(v.shape[1], PARTITIONS * BITS)).astype(np.float32)
         codes = self._codes(self.x)
-        self.order = np.argsort(codes, axis=0, kind="stable").astype(np.int32)
-        self.codes = np.take_along_axis(codes, self.order, 0)
+        self.order = np.argsort(codes, axis=1, kind="stable").astype(np.int32)
+        self.codes = np.take_along_axis(codes, self.order, 1)
         self.near, self.score = np.full((self.n, DEGREE), self.n, np.int32), np.full((self.n, DEGREE), -np.inf, np.float32)
         self._start(leaf)
         if self.n > leaf:
             self._descend()
+        self.next = np.concatenate([self.near, np.full((1, DEGREE), self.n, np.int32)])
 
     def _codes(self, x: np.ndarray) -> np.ndarray:
-        """A number for each row and partition: on which side of BITS planes it lies."""
+        """A number for each partition and row: on which side of BITS planes it lies."""
         parts = [(x[k : k + 4096] @ self.planes > 0).reshape(-1, PARTITIONS, BITS) @ (1 << np.arange(BITS, dtype=np.int32)[::-1]) for k in range(0, len(x), 4096)]
-        return np.concatenate(parts).astype(np.int32)
+        return np.ascontiguousarray(np.concatenate(parts).T, np.int32)
 
     def _scores(self, y: np.ndarray, nodes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Scores of runs of ``nodes``, as many to each row of ``y`` as ``sizes`` says."""
@@ -130,30 +133,38 @@ class _Shard:
         """All pairs within each partition's leaves of at most ``most`` nodes."""
         bits = max(0, int(np.ceil(np.log2(self.n / most))))
         for p in range(PARTITIONS if self.n > most else 1):
-            edges = np.flatnonzero(np.diff(self.codes[:, p] >> max(0, BITS - bits))) + 1
-            for leaf in np.split(self.order[:, p], edges):
+            edges = np.flatnonzero(np.diff(self.codes[p] >> max(0, BITS - bits))) + 1
+            for leaf in np.split(self.order[p], edges):
                 for m in np.array_split(leaf, -(-len(leaf) // most)):
                     s = self.x[m] @ self.x[m].T
                     np.fill_diagonal(s, -np.inf)
-                    best = _best(s, min(DEGREE, len(m)))
-                    score = np.concatenate([self.score[m], np.take_along_axis(s, best, 1)], 1)
-                    nodes = np.concatenate([self.near[m], m[best]], 1)
-                    by = np.argsort(nodes, axis=1, kind="stable")
-                    nodes, score = np.take_along_axis(nodes, by, 1), np.take_along_axis(score, by, 1)
-                    score[:, 1:][nodes[:, 1:] == nodes[:, :-1]] = -np.inf
-                    self._put(m, nodes, score)
-
-    def _put(self, rows: np.ndarray, nodes: np.ndarray, score: np.ndarray) -> np.ndarray:
-        """Keep the best of the nodes offered to each row; which columns these are."""
-        best = _best(score, DEGREE)
-        self.score[rows] = np.take_along_axis(score, best, 1)
-        self.near[rows] = np.where(self.score[rows] > -np.inf, np.take_along_axis(nodes, best, 1), self.n)
-        return best
+                    if p:
+                        at, other = np.nonzero(s > self.score[m, -1:])
+                        self._offer(m, at, m[other], s[at, other])
+                    else:
+                        best = _best(s, min(DEGREE, len(m)))
+                        self.score[m, : best.shape[1]] = value = np.take_along_axis(s, best, 1)
+                        self.near[m, : best.shape[1]] = np.where(value > -np.inf, m[best], self.n)
+
+    def _offer(self, rows: np.ndarray, at: np.ndarray, nodes: np.ndarray, score: np.ndarray) -> int:
+        """Offer nodes, each one once to a row, to the neighbours of ``rows``, of which ``at`` has places in order; how many were taken."""
+        fresh = ~(self.near[rows[at]] == nodes[:, None]).any(1)
+        at, nodes, score = at[fresh], nodes[fresh], score[fresh]
+        sizes = np.bincount(at, minlength=len(rows))
+        place = DEGREE + np.arange(len(at)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        wide = DEGREE + int(sizes.max(initial=0))
+        lists, scores = np.full((len(rows), wide), self.n, np.int32), np.full((len(rows), wide), -np.inf, np.float32)
+        lists[:, :DEGREE], scores[:, :DEGREE] = self.near[rows], self.score[rows]
+        lists[at, place], scores[at, place] = nodes, score
+        best = _best(scores, DEGREE)
+        self.near[rows], self.score[rows] = np.take_along_axis(lists, best, 1), np.take_along_axis(scores, best, 1)
+        return np.count_nonzero((best >= DEGREE) & (self.score[rows] > -np.inf))
 
     def _descend(self) -> None:
-        """NN-descent: each node joins samples of its neighbours and of those whose neighbour it is; these meet their samples."""
+        """NN-descent: each node gathers samples of its neighbours and of those whose neighbour it is; pairs among them are joined."""
         n, unsettled = self.n, True
-        step = max(1, 2**22 // (4 * SAMPLE * SAMPLE * self.x.shape[1]))
+        x, pairs = np.concatenate([self.x, np.zeros((1, self.x.shape[1]), np.float32)]), 4 * SAMPLE * SAMPLE
+        step = max(1, 2**22 // (2 * SAMPLE * self.x.shape[1] + pairs))
         while unsettled:
             pick = np.argsort(self.random.random((n, DEGREE), np.float32), axis=1)[:, :SAMPLE]
             mixed = self.random.permutation(n * DEGREE)
@@ -162,25 +173,36 @@ class _Shard:
             at, to = at[by], to[by]
             rank = np.arange(len(to)) - np.searchsorted(to, np.arange(n + 1))[to]
             at, to, rank = (c[(rank < SAMPLE) & (to < n)] for c in (at, to, rank))
-            joined = np.full((n + 1, 2 * SAMPLE), n, np.int32)
-            joined[:n, :SAMPLE] = np.take_along_axis(self.near, pick, 1)
+            joined = np.full((n, 2 * SAMPLE), n, np.int32)
+            joined[:, :SAMPLE] = np.take_along_axis(self.near, pick, 1)
             joined[to, SAMPLE + rank] = at
-            changed, before = 0, self.score[self.score > -np.inf].sum(dtype=np.float64)
-            filled = np.count_nonzero(self.near < n)
+            changed, keys, held = 0, [], 0
             for a in range(0, n, step):
-                rows = np.arange(a, min(n, a + step))
-                # twice the number of a node, and one more where it isn't a neighbour yet
-                key = np.sort(np.concatenate([2 * self.near[rows], 2 * joined[joined[rows]].reshape(len(rows), -1) + 1], 1), axis=1)
-                nodes = key >> 1
-                good = (nodes < n) & (nodes != rows[:, None])
-                good[:, 1:] &= nodes[:, 1:] != nodes[:, :-1]
-                score = np.full(nodes.shape, -np.inf, np.float32)
-                score[good] = self._scores(self.x[rows], nodes[good], good.sum(1))
-                best = self._put(rows, nodes, score)
-                changed += np.count_nonzero(np.take_along_axis(key & good, best, 1) & 1)
-            # where only rounding still moves them, lists are as good as they get
-            after = self.score[self.score > -np.inf].sum(dtype=np.float64)
-            unsettled = changed > SETTLED * n * DEGREE and (np.count_nonzero(self.near < n) > filled or after - before > 1e-7 * abs(before))
+                m = joined[a : a + step]
+                own = x[m]
+                worst = np.append(self.score[:, -1], np.float32(np.inf))[m]
+                good = (own @ own.transpose(0, 2, 1) > worst[:, :, None]) & (m < n)[:, None, :] & (m[:, :, None] != m[:, None, :])
+                k, i, j = np.nonzero(good)
+                keys.append(m[k, i].astype(np.int64) * n + m[k, j])
+                held += len(k)
+                if held > JOINED or a + step >= n:
+                    changed += self._meet(np.unique(np.concatenate(keys)))
+                    keys, held = [], 0
+            unsettled = changed > SETTLED * n * DEGREE
+
+    def _meet(self, keys: np.ndarray) -> int:
+        """Score pairs (node times n, and the other) and offer the nodes the others; how many were taken."""
+        node, other = np.divmod(keys, self.n)
+        edges = np.flatnonzero(np.diff(node, prepend=-1))
+        sizes, taken = np.diff(edges, append=len(node)), 0
+        for part in np.array_split(np.arange(len(edges)), -(-len(node) // MET)):
+            if len(part):
+                a, rows, many = edges[part[0]], node[edges[part]], sizes[part]
+                nodes = other[a : a + many.sum()].astype(np.int32)
+                score, at = self._scores(self.x[rows], nodes, many), np.repeat(np.arange(len(rows)), many)
+                good = score > self.score[rows[at], -1]
+                taken += self._offer(rows, at[good], nodes[good], score[good])
+        return taken
 
     def lists(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The graph of vectors: ids, and DEGREE neighbours or fewer of each with scores, equal vectors among them."""
@@ -209,7 +231,7 @@ class _Shard:
         """Queries' ids with their k nearest here, in parts: ids, sizes of lists, exact scores, ids found."""
         wide = 1 + max(0.0, np.log2(self.n / BASE)) / 2
         width, best = int(BEAM * wide), max(RESCORED, 4 * k)
-        step = max(1, min(64, 2**24 // (width // PART * DEGREE * self.x.shape[1])))
+        step = max(1, min(64, 2**21 // (width // PART * DEGREE * self.x.shape[1])))  # what a hop gathers stays in a core's cache
         for a in range(0, len(ids), step):
             own, u = ids[a : a + step], v[a : a + step].astype(np.float64)
             row, node = self._walk((u / np.abs(u).max(1, keepdims=True)).astype(np.float32), own, width, best)
@@ -220,17 +242,16 @@ class _Shard:
     def _walk(self, y: np.ndarray, own: np.ndarray, width: int, best: int) -> tuple[np.ndarray, np.ndarray]:
         """Rows of ``y`` and their ``best`` nodes met by the time the whole beam is expanded; a node is met once."""
         n, count, expand, most = self.n, len(y), width // PART, max(width, best)
-        near = np.concatenate([self.near, np.full((1, DEGREE), n, np.int32)])
         met = np.zeros((count, n + 1), bool)
         met[:, n] = True
         beam, score, done = np.full((count, most), n, np.int32), np.full((count, most), -np.inf, np.float32), np.ones((count, most), bool)
         # begin at the query's own node, if it is here, and beside its place in each partition
         codes = self._codes(y)
-        at = np.stack([np.searchsorted(self.codes[:, p], codes[:, p]) for p in range(PARTITIONS)], 1)
+        at = np.stack([np.searchsorted(self.codes[p], codes[p]) for p in range(PARTITIONS)], 1)
         window = np.clip(at[:, :, None] + np.arange(-BESIDE, BESIDE), 0, n - 1)
         place = np.minimum(np.searchsorted(self.ids, own), len(self.ids) - 1)
         here = np.where(self.ids[place] == own, self.node[place], n)
-        new = np.concatenate([self.order[window, np.arange(PARTITIONS)[None, :, None]].reshape(count, -1), here[:, None]], 1)
+        new = np.concatenate([self.order[np.arange(PARTITIONS)[None, :, None], window].reshape(count, -1), here[:, None]], 1)
         live = np.arange(count)
         while len(live):
             new = np.sort(new.astype(np.int32), axis=1)
@@ -253,7 +274,7 @@ class _Shard:
             is_open = todo.any(1)
             live, todo, b = live[is_open], todo[is_open], b[is_open, :width]
             first = np.argsort(~todo, axis=1, kind="stable")[:, :expand]
-            new = near[np.where(np.take_along_axis(todo, first, 1), np.take_along_axis(b, first, 1), n)].reshape(len(live), expand * DEGREE)
+            new = self.next[np.where(np.take_along_axis(todo, first, 1), np.take_along_axis(b, first, 1), n)].reshape(len(live), expand * DEGREE)
         row, column = np.nonzero(beam[:, :best] < n)
         return row, beam[row, column]
 
