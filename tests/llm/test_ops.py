@@ -375,6 +375,40 @@ def test_public_licence_texts_and_notices(spark):
     assert all(names[k] == name for k, (name, _) in enumerate(licences.KNOWN))
 
 
+def test_licence_spellings_stay_flat(spark, monkeypatch):
+    """The JIT compiler inlines nested calls into one huge method, so more spellings must not nest the canonical form deeper."""
+
+    def depth(e):
+        return 1 + max((depth(e.children().apply(k)) for k in range(e.children().size())), default=0)
+
+    def form_depth():
+        return depth(documents(spark, [(1, "x")]).selectExpr(licences.canonical_sql("text"))._jdf.queryExecution().analyzed().expressions().head())
+
+    now = form_depth()
+    monkeypatch.setattr(licences, "SPELLINGS", (*licences.SPELLINGS, *((f"a{k}", f"b{k}") for k in range(5))))
+    assert form_depth() == now <= 15
+
+
+def test_every_licence_spelling(spark):
+    """Each spelling beside itself, beside every other and within longer words, against regexes over single blanks and the oracle."""
+
+    def form(text):
+        for word, to in licences.SPELLINGS:
+            text = re.sub(f"(?<![^ ]){word}(?![^ ])", to, text)
+        return hashlib.sha256(text.encode()).hexdigest()
+
+    words = [w for pair in licences.SPELLINGS for w in pair]
+    texts = [f"{a} {b}\n{b},{a} x{a} {a}x {a}{b} é{a} {a}é • {a}" for a in words for b in words]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(texts)))
+    own = licences.scan(documents(spark, list(enumerate(texts))))
+    rows = sorted(map(tuple, own.collect()))
+    assert [row[1] for row in rows] == [form(re.sub("[\n,•\x00-\x20]+", " ", text).strip()) for text in texts]
+    theirs = con.sql(oracle.SQL["op5_licences"]).project(", ".join(own.columns)).fetchall()
+    assert sorted(map(repr, rows)) == sorted(map(repr, theirs))
+
+
 # 6
 
 

@@ -108,13 +108,13 @@ def canonical_sql(text: str) -> str:
     x = f"translate(coalesce({text}, ''), '{UPPER}', '{LOWER}')"
     owner = rf"copyright[ \t]+(?!(?:{PROSE})(?![a-z0-9]))[a-z][^\n]{{0,80}}(?=\n|$)"
     x = sub(x, rf"(^|\n)[^a-z0-9\n(©]*(?:copyright[ \t]*{MARKS}[^\n]*|\(c\)[ \t]*[0-9]{{4}}[^\n]*|©[^\n]*|all rights reserved[^\n]*|{owner})", "$1")
-    x = sub(x, f"[{MARKED}]", " ")
-    x = sub(x, r"[\x00-\x2f\x3a-\x60\x7b-\x7f]+", " ")
-    x = f"trim({x})"
-    for word, to in SPELLINGS:
-        # the blanks around a word belong to its neighbours as well
-        x = sub(x, f"{word}(?![^ ])(?<![^ ]{word})", to)
-    return x
+    # two blanks between words and one at either end, so that each word has its own
+    x = sub(x, rf"[{MARKED}\x00-\x2f\x3a-\x60\x7b-\x7f]+", "  ")
+    spaced = lambda words: quote(f" {words.replace(' ', '  ')} ")
+    # the spellings are rows that a loop takes, not nested calls: the JIT compiler inlines a nest into one huge method
+    rows = ", ".join(f"struct({spaced(word)} AS word, {spaced(to)} AS other)" for word, to in SPELLINGS)
+    x = f"aggregate(array({rows}), concat(' ', trim({x}), ' '), (form, s) -> replace(form, s.word, s.other))"
+    return f"trim(replace({x}, '  ', ' '))"
 
 
 def scan(df: DataFrame) -> DataFrame:
@@ -124,7 +124,8 @@ def scan(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     rows = ", ".join("('{}', '{}')".format(name, text.replace("\\", "\\\\").replace("'", "\\'").replace("\n", "\\n")) for name, text in KNOWN)
-    known = spark.sql(f"SELECT sha2({canonical_sql('t')}, 256) AS known_digest, min(l) AS licence FROM VALUES {rows} AS v(l, t) GROUP BY 1")
+    digested = f"SELECT sha2({canonical_sql('t')}, 256) AS known_digest, l FROM VALUES {rows} AS v(l, t)"
+    known = spark.sql(f"SELECT known_digest, min(l) AS licence FROM ({digested}) GROUP BY known_digest")
     digests = {r["known_digest"]: r["licence"] for r in known.collect()}  # one row per known text at most
     table = "map(" + ", ".join(f"'{d}', '{name}'" for d, name in sorted(digests.items())) + ")"
     text = "CAST(text AS STRING)"
